@@ -172,9 +172,9 @@ _AGES = "SELECT last_contact - time_position AS age FROM vec WHERE time_position
             UNION ALL SELECT 'rows_' || population, rows FROM dups
             UNION ALL SELECT 'duplicates_' || population, duplicates FROM dups
             UNION ALL SELECT 'duplicate_pct_' || population, duplicate_pct FROM dups
-            UNION ALL SELECT 'staleness_p' || p, (SELECT age FROM ({_AGES}) ORDER BY age LIMIT 1 OFFSET
-                (SELECT least(count(*) * p // 100, count(*) - 1) FROM ({_AGES})))
-              FROM (SELECT 50 AS p) UNION ALL SELECT 'staleness_p90', list_sort(list(age))[least(
+            UNION ALL SELECT 'staleness_p50', list_sort(list(age))[least(
+                count(*) * 50 // 100, count(*) - 1) + 1] FROM ({_AGES})
+            UNION ALL SELECT 'staleness_p90', list_sort(list(age))[least(
                 count(*) * 90 // 100, count(*) - 1) + 1] FROM ({_AGES})
             UNION ALL SELECT 'staleness_p99', list_sort(list(age))[least(
                 count(*) * 99 // 100, count(*) - 1) + 1] FROM ({_AGES})

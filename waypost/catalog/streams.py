@@ -10,7 +10,7 @@ from waypost.catalog.records import _BRONZE_LIST, DAY, LATEST_SQL, rec_sql
 from waypost.catalog.registry import query
 from waypost.catalog.relational import _KEEP, silver_sql
 from waypost.plans.flights import SESSION_COLUMNS
-from waypost.sinks.tables import write_bronze
+from waypost.sinks.tables import write_bronze_table
 from waypost.sources.records import stream_ndjson
 from waypost.sources.tables import read_bronze
 from waypost.streaming.ingest import IngestPaths, start_bronze
@@ -89,9 +89,9 @@ def _bronze_stream(spark, sf):
     path = fresh_path(spark, "bronze")
     rows = S.bronze(spark, sf)
     second_copy = F.unix_seconds("ingested_at") - F.unix_seconds("poll_time") == 60
-    write_bronze(rows.where(second_copy), path)
-    write_bronze(rows.where(~second_copy), path)
-    return stream_bronze(spark, path, max_files_per_trigger=1000)
+    write_bronze_table(rows.where(second_copy), path)
+    write_bronze_table(rows.where(~second_copy), path)
+    return stream_bronze(spark, path, max_files_per_trigger=50)
 
 
 @query("str_dedup", silver_sql(f"SELECT {_KEEP} FROM ranked WHERE rn = 1"))

@@ -1,7 +1,10 @@
 """Record validation: one pass over raw JSON text, first failing rule wins.
 
 Rules test JSON types, not just values: ``true`` is no number and ``"5"`` no
-integer. Text is therefore parsed to VARIANT and each field's type is read back.
+integer. The text is read twice by the JSON parser, once with the declared types
+and once with every field as text. A field with text but no typed value has the
+wrong type. Any JSON value reads as text, so string fields are read as VARIANT on
+the typed side, which remembers what they were.
 """
 
 from __future__ import annotations
@@ -12,80 +15,95 @@ from pyspark.sql import functions as F
 from waypost.params import MAX_EPOCH, MAX_INVALID_RATIO, MIN_EPOCH, RATIO_GUARD_MIN_MESSAGES
 from waypost.schemas import BRONZE, BRONZE_COLUMNS, EPOCH_COLUMNS, RECORD_COLUMNS
 
-_NUMBERS = ("longitude", "latitude", "baro_altitude", "velocity", "true_track", "vertical_rate", "geo_altitude")
-_NUMBER_TYPES = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 _REQUIRED_EPOCHS = ("observed_at", "last_contact", "poll_time", "ingested_at")
+_JSON = {
+    "allowNonNumericNumbers": "false",
+    "allowSingleQuotes": "false",
+    "columnNameOfCorruptRecord": "_bad",
+}
 
 
-def _type(field: str) -> Column:
-    """JSON type of a field; NULL when it is missing or null."""
-    return F.nullif(F.col(f"_types.{field}"), F.lit("VOID"))
+def _wire_type(field: str) -> str:
+    """Type a field is read with; integers are read wide so that ranges can be judged."""
+    declared = BRONZE[field].dataType.simpleString()
+    if declared == "string" or field == "position_age_seconds":
+        return "variant"
+    return "bigint" if field in (*EPOCH_COLUMNS, "category", "position_source") else declared
 
 
-def _value(field: str, as_type: str) -> Column:
-    return F.try_variant_get(F.col("_doc"), f"$.{field}", as_type)
+def _text(field: str) -> Column:
+    return F.col(f"_text.{field}")
+
+
+def _value(field: str) -> Column:
+    return F.col(f"_typed.{field}")
 
 
 def _fails(when: Column, reason: str) -> Column:
     return F.when(when, F.lit(reason))
 
 
-def _text(field: str, required: bool) -> list[Column]:
-    kind = _type(field)
-    missing = [_fails(kind.isNull(), f"{field}: required")] if required else []
-    return [*missing, _fails(kind != "STRING", f"{field}: not a string")]
+def _mistyped(field: str) -> Column:
+    return _text(field).isNotNull() & _value(field).isNull()
+
+
+def _string(field: str, required: bool) -> list[Column]:
+    missing = [_fails(_text(field).isNull(), f"{field}: required")] if required else []
+    kind = F.schema_of_variant(_value(field))
+    return [*missing, _fails(~kind.isin("STRING", "VOID"), f"{field}: not a string")]
 
 
 def _epoch(field: str) -> list[Column]:
-    kind = _type(field)
-    missing = [_fails(kind.isNull(), f"{field}: required")] if field in _REQUIRED_EPOCHS else []
+    required = field in _REQUIRED_EPOCHS
+    missing = [_fails(_text(field).isNull(), f"{field}: required")] if required else []
     return [
         *missing,
-        _fails(kind != "BIGINT", f"{field}: not an integer"),
-        _fails(~_value(field, "bigint").between(MIN_EPOCH, MAX_EPOCH), f"{field}: implausible epoch"),
+        _fails(_mistyped(field), f"{field}: not an integer"),
+        _fails(~_value(field).between(MIN_EPOCH, MAX_EPOCH), f"{field}: implausible epoch"),
     ]
 
 
 def _number(field: str) -> list[Column]:
-    return [_fails(~_type(field).rlike(_NUMBER_TYPES), f"{field}: not a number")]
+    return [_fails(_mistyped(field), f"{field}: not a number")]
 
 
 def _flag(field: str) -> list[Column]:
-    return [_fails(F.coalesce(_type(field), F.lit("VOID")) != "BOOLEAN", f"{field}: not a boolean")]
+    return [_fails(_value(field).isNull(), f"{field}: not a boolean")]
 
 
 def _within(field: str, low: float, high: float) -> list[Column]:
-    return [_fails(~_value(field, "double").between(low, high), f"{field}: out of range")]
+    return [_fails(~_value(field).between(low, high), f"{field}: out of range")]
 
 
 def _age() -> list[Column]:
-    kind, text = _type("position_age_seconds"), _value("position_age_seconds", "string")
-    numeric = kind.rlike(_NUMBER_TYPES)
-    numeric_text = (kind == "STRING") & text.rlike(r"^\s*([+-]?\d+\s*)?$")
-    return [_fails(~(numeric | numeric_text), "position_age_seconds: not a number")]
+    """A number, or text that reads as a whole one; blank text counts as none."""
+    kind = F.schema_of_variant(_value("position_age_seconds"))
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT", "VOID") | kind.startswith("DECIMAL")
+    numeric_text = (kind == "STRING") & _text("position_age_seconds").rlike(r"^\s*([+-]?\d+\s*)?$")
+    return [_fails(~(number | numeric_text), "position_age_seconds: not a number")]
 
 
 def _reason() -> Column:
-    kind = F.col("_kind")
+    is_object = F.col("_object")
+    unreadable = (F.coalesce(F.col("_documents"), F.lit(0)) != 1) | (
+        is_object & (F.col("_text").isNull() | F.col("_text._bad").isNotNull())
+    )
     rules = [
-        _fails(F.col("_doc").isNull(), "json: unparseable"),
-        _fails(~kind.startswith("OBJECT"), "record: not an object"),
-        *_text("icao24", required=True),
-        _fails(_value("icao24", "string").rlike(r"^\s*$"), "icao24: empty"),
+        _fails(unreadable, "json: unparseable"),
+        _fails(~is_object, "record: not an object"),
+        *_string("icao24", required=True),
+        _fails(_text("icao24").rlike(r"^\s*$"), "icao24: empty"),
         *_number("latitude"),
         *_number("longitude"),
         *_within("latitude", -90, 90),
         *_within("longitude", -180, 180),
-        _fails(_type("category") != "BIGINT", "category: not an integer"),
+        _fails(_mistyped("category"), "category: not an integer"),
         *_within("category", 0, 20),
-        _fails(
-            F.coalesce(_type("position_source"), F.lit("VOID")) != "BIGINT",
-            "position_source: not an integer",
-        ),
+        _fails(_value("position_source").isNull(), "position_source: not an integer"),
         *_within("position_source", 0, 3),
         *_epoch("observed_at"),
-        *_text("callsign", required=False),
-        *_text("origin_country", required=True),
+        *_string("callsign", required=False),
+        *_string("origin_country", required=True),
         *_epoch("time_position"),
         *_epoch("last_contact"),
         *_number("baro_altitude"),
@@ -94,9 +112,9 @@ def _reason() -> Column:
         *_number("true_track"),
         *_number("vertical_rate"),
         *_number("geo_altitude"),
-        *_text("squawk", required=False),
+        *_string("squawk", required=False),
         *_flag("spi"),
-        *_text("region", required=True),
+        *_string("region", required=True),
         *_epoch("poll_time"),
         *_epoch("ingested_at"),
         *_age(),
@@ -105,21 +123,17 @@ def _reason() -> Column:
 
 
 def _field(name: str) -> Column:
+    """One bronze column of a document that passed every rule."""
     if name in EPOCH_COLUMNS:
-        return F.timestamp_seconds(_value(name, "bigint")).alias(name)
-    if name == "position_age_seconds":
-        as_number = F.coalesce(
-            F.expr(f"try_cast({_TRUNCATED_AGE} AS int)"),
-            F.expr("try_cast(trim(try_variant_get(_doc, '$.position_age_seconds', 'string')) AS int)"),
-        )
-        return F.coalesce(as_number, F.lit(0)).alias(name)
-    return _value(name, BRONZE[name].dataType.simpleString()).alias(name)
-
-
-_TRUNCATED_AGE = (
-    "CASE WHEN _types.position_age_seconds <> 'STRING' THEN "
-    "try_variant_get(_doc, '$.position_age_seconds', 'double') END"
-)
+        value = F.timestamp_seconds(_value(name))
+    elif name == "position_age_seconds":
+        # Through double, as a fraction is cut off rather than refused.
+        value = F.coalesce(F.trim(_text(name)).try_cast("double").try_cast("int"), F.lit(0))
+    elif _wire_type(name) == "variant":
+        value = _text(name)
+    else:
+        value = _value(name).cast(BRONZE[name].dataType)
+    return value.alias(name)
 
 
 def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -129,24 +143,29 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
     in a fixed order, the first failure being the reason. Absent measurements
     stay NULL; whole numbers are accepted where a float is meant.
     """
-    fields = [f for f in BRONZE_COLUMNS]
-    parsed = raw.withColumn("_doc", F.try_parse_json(F.col(value_col)))
-    typed = parsed.withColumns(
-        {
-            "_kind": F.schema_of_variant("_doc"),
-            "_types": F.struct(
-                *[
-                    F.schema_of_variant(F.try_variant_get("_doc", f"$.{f}", "variant")).alias(f)
-                    for f in fields
-                ]
-            ),
-        }
-    )
-    return (
-        typed.withColumn("reason", _reason())
-        .withColumn("rec", F.when(F.col("reason").isNull(), F.struct(*[_field(f) for f in fields])))
-        .drop("_doc", "_kind", "_types")
+    value = F.col(value_col)
+    typed = ", ".join(f"{f} {_wire_type(f)}" for f in BRONZE_COLUMNS)
+    text = ", ".join(f"{f} string" for f in BRONZE_COLUMNS)
+    # Exploded from one-element arrays: a generator's output is computed once per
+    # row, while a filter on a projected column would be pushed down as a copy of
+    # its whole expression and parse the text again for every rule.
+    read = raw.select(
+        "*",
+        F.inline(
+            F.array(
+                F.struct(
+                    F.from_json(value, typed, _JSON).alias("_typed"),
+                    F.from_json(value, f"{text}, _bad string", _JSON).alias("_text"),
+                    # Exactly one document, with nothing after it.
+                    F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))).alias("_documents"),
+                    value.rlike(r"^\s*\{").alias("_object"),
+                )
+            )
+        ),
     )
+    judged = read.select("*", F.explode(F.array(_reason())).alias("reason"))
+    rec = F.when(F.col("reason").isNull(), F.struct(*[_field(f) for f in BRONZE_COLUMNS]))
+    return judged.select(*raw.columns, "reason", rec.alias("rec"))
 
 
 def split_valid(validated: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:

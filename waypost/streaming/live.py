@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waypost.functions.scalar import best_altitude, usable_position
+from waypost.operators.dedup import latest_per_key
 from waypost.params import Params
 from waypost.plans.serving import latest_positions
 
@@ -48,4 +49,5 @@ def start_live(bronze: DataFrame, path: str, checkpoint: str, bounded: bool = Tr
 def read_live(spark: SparkSession, path: str, as_of=None, max_age_s: int = 900) -> DataFrame:
     """The newest published position per aircraft, shaped as ``live`` shapes it."""
     published = spark.read.parquet(path).drop("batch")
-    return latest_positions(published.withColumn("has_usable_position", F.lit(True)), as_of, max_age_s)
+    newest = latest_per_key(published, ["icao24"], ["observed_at", "ingested_at", "poll_time"])
+    return latest_positions(newest.withColumn("has_usable_position", F.lit(True)), as_of, max_age_s)

@@ -95,8 +95,8 @@ def start_silver(
 def stream_bronze(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Bronze Parquet as a stream of new files."""
-    reader = spark.readStream.schema(schemas.BRONZE_PARTITIONED)
+    """Bronze Parquet, in either layout, as a stream of new files."""
+    reader = spark.readStream.schema(schemas.BRONZE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path).select(*schemas.BRONZE_COLUMNS)
