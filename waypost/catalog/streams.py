@@ -74,7 +74,7 @@ def str_bounded(spark, sf):
     ),
 )
 def str_late(spark, sf):
-    bronze = _ingest(spark, sf, False, 2, 1).bronze
+    bronze = _ingest(spark, sf, False, 2, None).bronze
     late = F.date_trunc("hour", "poll_time") > F.date_trunc("hour", "observed_at")
     return (
         spark.read.schema(schemas.BRONZE_PARTITIONED)
