@@ -106,8 +106,8 @@ def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def _unique_check(df: DataFrame, check: Check) -> DataFrame:
-    keys = df.dropna(subset=list(check.columns)).groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    repeated = keys.agg(F.count_if(F.col("n") > 1).alias("n"))
+    keys = df.dropna(subset=list(check.columns)).groupBy(*check.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = keys.agg(F.count_if(F.col("_copies") > 1).alias("n"))
     return repeated.select(
         F.inline(
             F.array(
