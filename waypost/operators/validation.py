@@ -1,10 +1,10 @@
 """Record validation: one pass over raw JSON text, first failing rule wins.
 
 Rules test JSON types, not just values: ``true`` is no number and ``"5"`` no
-integer. The text is read twice by the JSON parser, once with the declared types
-and once with every field as text. A field with text but no typed value has the
-wrong type. Any JSON value reads as text, so string fields are read as VARIANT on
-the typed side, which remembers what they were.
+integer. The text is parsed with the declared types; only where that fails is it
+parsed again with every field as text, and a field with text but no typed value
+has the wrong type. Any JSON value reads as text, so string fields are declared
+VARIANT, which remembers what they were.
 """
 
 from __future__ import annotations
@@ -47,18 +47,26 @@ def _mistyped(field: str) -> Column:
     return _text(field).isNotNull() & _value(field).isNull()
 
 
+def _kind(field: str) -> Column:
+    """JSON type of a VARIANT field; NULL when it is missing or null."""
+    return F.nullif(F.col(f"_kinds.{field}"), F.lit("VOID"))
+
+
+def _string_value(field: str) -> Column:
+    return F.try_variant_get(_value(field), "$", "string")
+
+
 def _string(field: str, required: bool) -> list[Column]:
-    missing = [_fails(_text(field).isNull(), f"{field}: required")] if required else []
-    kind = F.schema_of_variant(_value(field))
-    return [*missing, _fails(~kind.isin("STRING", "VOID"), f"{field}: not a string")]
+    missing = [_fails(_kind(field).isNull(), f"{field}: required")] if required else []
+    return [*missing, _fails(_kind(field) != "STRING", f"{field}: not a string")]
 
 
 def _epoch(field: str) -> list[Column]:
     required = field in _REQUIRED_EPOCHS
-    missing = [_fails(_text(field).isNull(), f"{field}: required")] if required else []
+    missing = [_fails(_value(field).isNull(), f"{field}: required")] if required else []
     return [
-        *missing,
         _fails(_mistyped(field), f"{field}: not an integer"),
+        *missing,
         _fails(~_value(field).between(MIN_EPOCH, MAX_EPOCH), f"{field}: implausible epoch"),
     ]
 
@@ -77,22 +85,22 @@ def _within(field: str, low: float, high: float) -> list[Column]:
 
 def _age() -> list[Column]:
     """A number, or text that reads as a whole one; blank text counts as none."""
-    kind = F.schema_of_variant(_value("position_age_seconds"))
-    number = kind.isin("BIGINT", "DOUBLE", "FLOAT", "VOID") | kind.startswith("DECIMAL")
-    numeric_text = (kind == "STRING") & _text("position_age_seconds").rlike(r"^\s*([+-]?\d+\s*)?$")
+    kind, text = _kind("position_age_seconds"), _string_value("position_age_seconds")
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    numeric_text = (kind == "STRING") & text.rlike(r"^\s*([+-]?\d+\s*)?$")
     return [_fails(~(number | numeric_text), "position_age_seconds: not a number")]
 
 
 def _reason() -> Column:
     is_object = F.col("_object")
     unreadable = (F.coalesce(F.col("_documents"), F.lit(0)) != 1) | (
-        is_object & (F.col("_text").isNull() | F.col("_text._bad").isNotNull())
+        is_object & (F.col("_typed").isNull() | F.col("_text._bad").isNotNull())
     )
     rules = [
         _fails(unreadable, "json: unparseable"),
         _fails(~is_object, "record: not an object"),
         *_string("icao24", required=True),
-        _fails(_text("icao24").rlike(r"^\s*$"), "icao24: empty"),
+        _fails(_string_value("icao24").rlike(r"^\s*$"), "icao24: empty"),
         *_number("latitude"),
         *_number("longitude"),
         *_within("latitude", -90, 90),
@@ -128,9 +136,9 @@ def _field(name: str) -> Column:
         value = F.timestamp_seconds(_value(name))
     elif name == "position_age_seconds":
         # Through double, as a fraction is cut off rather than refused.
-        value = F.coalesce(F.trim(_text(name)).try_cast("double").try_cast("int"), F.lit(0))
+        value = F.coalesce(F.trim(_string_value(name)).try_cast("double").try_cast("int"), F.lit(0))
     elif _wire_type(name) == "variant":
-        value = _text(name)
+        value = _string_value(name)
     else:
         value = _value(name).cast(BRONZE[name].dataType)
     return value.alias(name)
@@ -154,8 +162,7 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.inline(
             F.array(
                 F.struct(
-                    F.from_json(value, typed, _JSON).alias("_typed"),
-                    F.from_json(value, f"{text}, _bad string", _JSON).alias("_text"),
+                    F.from_json(value, f"{typed}, _bad string", _JSON).alias("_typed"),
                     # Exactly one document, with nothing after it.
                     F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))).alias("_documents"),
                     value.rlike(r"^\s*\{").alias("_object"),
@@ -163,6 +170,13 @@ def validate(raw: DataFrame, value_col: str = "value") -> DataFrame:
             )
         ),
     )
+    kinds = [
+        F.schema_of_variant(_value(f)).alias(f) for f in BRONZE_COLUMNS if _wire_type(f) == "variant"
+    ]
+    as_text = F.when(_value("_bad").isNotNull(), F.from_json(value, f"{text}, _bad string", _JSON))
+    read = read.select(
+        "*", F.inline(F.array(F.struct(as_text.alias("_text"), F.struct(*kinds).alias("_kinds"))))
+    )
     judged = read.select("*", F.explode(F.array(_reason())).alias("reason"))
     rec = F.when(F.col("reason").isNull(), F.struct(*[_field(f) for f in BRONZE_COLUMNS]))
     return judged.select(*raw.columns, "reason", rec.alias("rec"))
