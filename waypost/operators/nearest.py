@@ -15,6 +15,11 @@ from waypost.workspace import fits_broadcast
 SALTS = 16
 
 
+def pick_strategy(right: DataFrame) -> str:
+    """``broadcast`` for a reference side that is small by count, else ``shuffle``."""
+    return "broadcast" if fits_broadcast(right) else "shuffle"
+
+
 def nearest_within(
     left: DataFrame,
     right: DataFrame,
@@ -42,7 +47,7 @@ def nearest_within(
     ``shuffle`` serves any size, with hot cells salted.
     """
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(right) else "shuffle"
+        strategy = pick_strategy(right)
     height = band_height(km, radius_km)
     out = {**take, **({"_km": distance} if distance else {})}
 
@@ -72,9 +77,11 @@ def nearest_within(
         best = F.array_min(
             F.filter(F.transform("_near", candidate), lambda c: c["_km"] <= F.lit(km))
         )
+        # Exploded from a one-element array, so that the search runs once per row
+        # however many of its columns are taken.
         return (
             here.join(F.broadcast(cells), "_cell", "left")
-            .withColumn("_best", best)
+            .select(*left.columns, F.explode(F.array(best)).alias("_best"))
             .select(*left.columns, *[F.col(f"_best.{c}").alias(a) for c, a in out.items()])
         )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waypost.functions.geo import haversine_km
 from waypost.functions.scalar import flight_id, flight_phase, to_knots, to_minutes
-from waypost.operators.nearest import nearest_within
+from waypost.operators.nearest import nearest_within, pick_strategy
 from waypost.operators.scans import sessionize
 from waypost.params import (
     HIGH_QUALITY_GAP_SECONDS,
@@ -146,6 +146,8 @@ def flights(
     strategy: str = "auto",
 ) -> DataFrame:
     """The flight fact: sessions with enough observations, endpoints matched to airports."""
+    if strategy == "auto":
+        strategy = pick_strategy(airports)
     matched = flight_summary(sessions, params).where(
         F.col("observation_count") >= params.min_flight_observations
     )

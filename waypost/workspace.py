@@ -57,3 +57,9 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; counts no further than that."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` on every core, if its files give fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
