@@ -40,7 +40,8 @@ def reference_windows(df, gap, boundary):
     change = (prev_g & ~F.col("g")) if boundary == "takeoff_row" else (F.col("g") & ~next_g)
     start = (gap_s.isNull() | (gap_s > gap) | F.coalesce(change, F.lit(False))).cast("int")
     flagged = df.withColumns(
-        {"observation_seq": F.row_number().over(w), "seconds_since_previous": gap_s, "is_session_start": start}
+        {"observation_seq": F.row_number().over(w), "previous_ts": prev, "previous_state": prev_g,
+         "seconds_since_previous": gap_s, "is_session_start": start}
     )
     return flagged.withColumn(
         "session_seq", F.sum("is_session_start").over(w.rowsBetween(W.unboundedPreceding, 0))

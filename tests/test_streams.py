@@ -10,7 +10,7 @@ from waypost.sinks.tables import write_bronze_table
 from waypost.streaming.ingest import IngestPaths, start_bronze
 from waypost.streaming.live import read_live, start_live
 from waypost.streaming.sessions import read_sessions, start_sessions
-from waypost.streaming.silver import merge_latest, read_latest, start_silver, stream_bronze
+from waypost.streaming.silver import drop_superseded, merge_latest, read_latest, start_silver, stream_bronze
 
 
 def paths(tmp_path):
@@ -62,6 +62,10 @@ def test_silver_merge_equals_batch_and_repeats_safely(spark, tmp_path):
         (r.observed_at, r.callsign, r.source_row_count) for r in state_vectors(first.unionByName(second)).collect()
     }
     got = {(r.observed_at, r.callsign, r.source_row_count) for r in read_latest(spark, path).collect()}
+    assert len(list((tmp_path / "silver" / "days" / "date=2024-01-01").glob("batch=*"))) == 2
+    drop_superseded(spark, path)
+    assert [p.name for p in (tmp_path / "silver" / "days" / "date=2024-01-01").glob("batch=*")] == ["batch=1"]
+    assert read_latest(spark, path).count() == len(got)
     assert got == expected and (at(0).timestamp(), "B", 3) in {(o.timestamp(), c, n) for o, c, n in got}
 
 

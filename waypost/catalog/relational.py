@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from waypost import schemas
@@ -355,16 +354,14 @@ def win_row_number(spark, sf):
 
 @query(
     "win_lag",
-    """SELECT o_orderkey, lag(o_orderkey) OVER w AS prev_order, lag(o_orderstatus) OVER w AS prev_status
-       FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
+    session_sql(
+        "SELECT icao24, observed_at, lag(observed_at) OVER w AS previous_ts,"
+        " lag(on_ground) OVER w AS previous_state FROM silver"
+        " WINDOW w AS (PARTITION BY icao24 ORDER BY observed_at)"
+    ),
 )
 def win_lag(spark, sf):
-    by_date = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return S.table(spark, sf, "orders").select(
-        "o_orderkey",
-        F.lag("o_orderkey").over(by_date).alias("prev_order"),
-        F.lag("o_orderstatus").over(by_date).alias("prev_status"),
-    )
+    return _numbered(spark, sf, "previous_ts", "previous_state")
 
 
 @query("win_gap", session_sql("SELECT icao24, observed_at, seconds_since_previous FROM sess"))

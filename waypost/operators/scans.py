@@ -45,8 +45,9 @@ def sessionize(
     ``from_state`` to ``to_state``. With ``boundary="takeoff_row"`` the row after
     the change starts the session, with ``"last_ground_row"`` the row before it.
 
-    Adds ``observation_seq``, ``seconds_since_previous`` (NULL on the first row),
-    ``is_session_start`` and ``session_seq``. ``(key, ts)`` must be unique at
+    Adds ``observation_seq``, ``previous_ts``, ``previous_state`` and
+    ``seconds_since_previous`` (NULL on the first row), ``is_session_start`` and
+    ``session_seq``. ``(key, ts)`` must be unique at
     one-second resolution, which bounds a slice to ``chunk_s`` rows. The input is
     read twice, first the key, time and state columns only; pass a written table
     (see ``workspace.settle``) where its lineage is expensive.
@@ -78,6 +79,7 @@ def sessionize(
             {
                 "_row": F.row_number().over(by_time),
                 "_prev_ts": F.lag(ts).over(by_time),
+                "_prev_state": F.lag(state).over(by_time),
                 "_local": gap_or_change(
                     F.lag(ts).over(by_time), F.lag(state).over(by_time), F.col(ts), state
                 )
@@ -158,7 +160,7 @@ def sessionize(
             }
         )
         .select(
-            *keys, "_slice", "_rows", "_in_prev_ts", "_opens", "_closes",
+            *keys, "_slice", "_rows", "_in_prev_ts", "_in_prev_state", "_opens", "_closes",
             "_add_first", "_add_last", "_base_rows", "_base_sessions",
         )
     )
@@ -166,12 +168,15 @@ def sessionize(
     is_first, is_last = F.col("_row") == 1, F.col("_row") == F.col("_rows")
     starts = F.col("_local") | (is_first & F.col("_opens")) | (is_last & F.col("_closes"))
     prev_ts = F.when(is_first, F.col("_in_prev_ts")).otherwise(F.col("_prev_ts"))
+    prev_state = F.when(is_first, F.col("_in_prev_state")).otherwise(F.col("_prev_state"))
     return (
         locally_flagged(sliced)
         .join(handed, [*keys, "_slice"])
         .select(
             *df.columns,
             (F.col("_base_rows") + F.col("_row")).alias("observation_seq"),
+            prev_ts.alias("previous_ts"),
+            prev_state.alias("previous_state"),
             (F.unix_seconds(F.col(ts)) - F.unix_seconds(prev_ts)).alias("seconds_since_previous"),
             starts.cast("int").alias("is_session_start"),
             (

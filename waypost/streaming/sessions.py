@@ -8,6 +8,7 @@ a retried batch starts from the same state and replaces its own files.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,6 @@ from waypost.functions.scalar import flight_id, flight_phase
 from waypost.operators.scans import sessionize
 from waypost.params import Params
 from waypost.plans.flights import SESSION_COLUMNS
-from waypost.workspace import settle
 
 STATE = T.StructType(
     [
@@ -32,8 +32,8 @@ STATE = T.StructType(
 
 def advance(
     batch: DataFrame, state: DataFrame, params: Params = Params()
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sessions of a silver batch, the rows that came too late, and the next state.
+) -> tuple[DataFrame, DataFrame]:
+    """Sessions of a silver batch, and the rows that came too late to be numbered.
 
     A row no newer than its aircraft's state cannot be numbered without
     renumbering what was published; it is set aside for the batch rebuild.
@@ -42,10 +42,8 @@ def advance(
         raise ValueError("a stream cannot look ahead; use boundary='takeoff_row'")
     placed = batch.join(state.select("icao24", "last_ts"), "icao24", "left")
     is_late = F.coalesce(F.col("observed_at") <= F.col("last_ts"), F.lit(False))
-    late = placed.where(is_late).drop("last_ts")
-    fresh = placed.where(~is_late).drop("last_ts")
     numbered = sessionize(
-        fresh,
+        placed.where(~is_late).drop("last_ts"),
         key=["icao24"],
         ts="observed_at",
         gap_s=params.session_gap_seconds,
@@ -53,15 +51,25 @@ def advance(
         chunk_s=params.chunk_seconds,
         carry=state,
     )
-    numbered = settle(numbered, "session-batch")
-    left_in = numbered.groupBy("icao24").agg(
-        F.max("observed_at").alias("last_ts"),
-        F.max_by("on_ground", "observed_at").alias("last_state"),
-        F.max("observation_seq").alias("last_seq"),
-        F.max("session_seq").alias("last_session"),
+    sessions = numbered.withColumns(
+        {
+            "flight_id": flight_id(),
+            "flight_phase": flight_phase(deadband=params.vertical_rate_deadband),
+        }
+    ).select(*SESSION_COLUMNS, "observation_seq")
+    return sessions, placed.where(is_late).drop("last_ts")
+
+
+def next_state(state: DataFrame, sessions: DataFrame) -> DataFrame:
+    """The state each aircraft is left in; all four measures grow with time."""
+    left_in = sessions.select(
+        "icao24",
+        F.col("observed_at").alias("last_ts"),
+        F.col("on_ground").alias("last_state"),
+        F.col("observation_seq").alias("last_seq"),
+        F.col("session_seq").alias("last_session"),
     )
-    # session_seq grows with time, so the newest row of either side carries all four.
-    merged = (
+    return (
         state.unionByName(left_in)
         .groupBy("icao24")
         .agg(
@@ -71,30 +79,31 @@ def advance(
             F.max("last_session").alias("last_session"),
         )
     )
-    sessions = numbered.withColumns(
-        {
-            "flight_id": flight_id(),
-            "flight_phase": flight_phase(deadband=params.vertical_rate_deadband),
-        }
-    ).select(*SESSION_COLUMNS)
-    return sessions, late, merged
 
 
 def start_sessions(
     silver: DataFrame, path: str, checkpoint: str, params: Params = Params(), bounded: bool = True
 ) -> StreamingQuery:
     """Write ``sessions``, ``late`` and ``state`` under ``path``, one folder per batch."""
-    spark = silver.sparkSession
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         state = (
             spark.createDataFrame([], STATE)
             if batch_id == 0
             else spark.read.schema(STATE).parquet(f"{path}/state/batch={batch_id - 1}")
         )
-        sessions, late, left_in = advance(settle(batch, "silver-batch"), state, params)
-        for name, rows in (("sessions", sessions), ("late", late), ("state", left_in)):
-            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        arrived = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        sessions, late = advance(arrived, state, params)
+        sessions = sessions.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, rows in (
+                ("sessions", sessions), ("late", late), ("state", next_state(state, sessions)),
+            ):
+                rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        finally:
+            sessions.unpersist()
+            arrived.unpersist()
 
     trigger = {"availableNow": True} if bounded else {"processingTime": "30 seconds"}
     return (

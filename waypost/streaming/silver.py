@@ -26,17 +26,24 @@ _STORED = T.StructType(
     ]
 )
 
+_MANIFEST = T.StructType([T.StructField("date", T.DateType()), T.StructField("batch", T.LongType())])
+
 
 def _snapshots(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Every day in its newest snapshot, optionally among batches before one."""
+    """Every day in its newest snapshot, optionally among batches before one.
+
+    Which snapshot that is comes from the manifest, one row per batch and day, so
+    superseded snapshots are pruned and not even listed by content.
+    """
     try:
-        stored = spark.read.schema(_STORED).parquet(path)
+        manifest = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
     except AnalysisException:
         return None
     if before is not None:
-        stored = stored.where(F.col("batch") < before)
-    # Both columns are partition columns: one row per snapshot is all that is grouped.
-    newest = stored.select("date", "batch").distinct().groupBy("date").agg(F.max("batch").alias("batch"))
+        manifest = manifest.where(F.col("batch") < before)
+    newest = manifest.groupBy("date").agg(F.max("batch").alias("batch"))
+    stored = spark.read.schema(_STORED).parquet(f"{path}/days")
+    # One row per calendar day is broadcast.
     return stored.join(F.broadcast(newest), ["date", "batch"])
 
 
@@ -51,21 +58,20 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 def merge_latest(bronze: DataFrame, path: str, batch_id: int) -> None:
     """Fold a batch into the days it touches.
 
-    Each touched day is rewritten as a new snapshot, ``date=.../batch=<id>``,
-    from the day's previous snapshot and the batch. A retried batch overwrites its
-    own snapshots only, so merging is idempotent and readers never see half of it.
+    Each touched day is rewritten as a new snapshot, ``days/date=.../batch=<id>``,
+    from the day's previous snapshot and the batch; the manifest names it last. A
+    retried batch overwrites its own files only, so merging is idempotent and
+    readers never see half of it.
     """
     spark = bronze.sparkSession
     arrived = dedup_latest(bronze, KEYS, VERSION, TIE_BREAKERS).withColumn(
         "date", F.to_date("observed_at")
     )
+    touched = arrived.select("date").distinct()
+    both = arrived
     earlier = _snapshots(spark, path, before=batch_id)
     if earlier is not None:
-        touched = arrived.select("date").distinct()
-        kept = earlier.join(F.broadcast(touched), "date", "left_semi")
-        both = arrived.unionByName(kept.drop("batch"))
-    else:
-        both = arrived
+        both = arrived.unionByName(earlier.join(F.broadcast(touched), "date", "left_semi").drop("batch"))
     merged = dedup_latest(
         both.drop("date"), KEYS, VERSION, TIE_BREAKERS, count_col="source_row_count"
     )
@@ -76,8 +82,22 @@ def merge_latest(bronze: DataFrame, path: str, batch_id: int) -> None:
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy("date", "batch")
-        .parquet(path)
+        .parquet(f"{path}/days")
     )
+    touched.write.mode("overwrite").parquet(f"{path}/manifest/batch={batch_id}")
+
+
+def drop_superseded(spark: SparkSession, path: str) -> None:
+    """Delete the snapshots that newer ones replaced. Run while no reader is on them."""
+    manifest = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
+    newest = manifest.groupBy("date").agg(F.max("batch").alias("batch")).collect()  # a row per day
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in newest:
+        for snapshot in files.listStatus(hadoop.Path(f"{path}/days/date={day.date.isoformat()}")):
+            name = snapshot.getPath().getName()
+            if name.startswith("batch=") and int(name[6:]) < day.batch:
+                files.delete(snapshot.getPath(), True)
 
 
 def start_silver(
