@@ -24,8 +24,9 @@ from waypost.workspace import settle
 #: Bytes in a block.
 BLOCK_BYTES = 1024
 
-#: Runs of ASCII white space compare as one space.
-WHITE_SPACE = r"[\x20\x09-\x0D]+"
+#: Runs of ASCII white space but the single space, which is as it should be already.
+#: (One class comes first, so that the matcher passes over other characters quickly.)
+WHITE_SPACE = r"[\x20\x09-\x0D](?:(?<=[\x09-\x0D])|(?=[\x20\x09-\x0D]))[\x20\x09-\x0D]*"
 
 _KEY = "_waypost_text_key"
 
@@ -57,7 +58,9 @@ def _pairs(names: Column) -> Column:
 
 def _named(texts: DataFrame, hashing) -> DataFrame:
     """``texts`` with the array ``parts`` replaced by ``names`` (fingerprint, rank)."""
-    flat = texts.select("row", F.posexplode("parts").alias("pos", "part")).select(
+    # The outer form keeps Spark from testing the array for emptiness first, at the cost
+    # of making it twice; no array here is empty.
+    flat = texts.select("row", F.posexplode_outer("parts").alias("pos", "part")).select(
         "row", "pos", hashing(F.col("part")).alias("print"), "part"
     )
     shared = settle(
