@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from waypost.llm.chat import format_chats, read_chats
+from waypost.llm.decontaminate import find_leaks
 from waypost.llm.exact_dedup import exact_groups
+from waypost.llm.html_text import extract_text
+from waypost.llm.jaccard import jaccard_components
+from waypost.llm.packing import pack_documents
+from waypost.llm.passages import repeated_passages
+from waypost.llm.pii import BASE, find_spans, listed, of_kinds
+from waypost.llm.quality import fit, score
+from waypost.llm.token_counts import token_counts
+from waypost.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,3 +57,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so each run encodes every distinct text."""
+    return token_counts(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        fresh_path(spark, "token-counts"),
+    )
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    return find_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(F.size(of_kinds(spans, kind)).cast("long").alias(f"n_{kind}") for kind in BASE),
+        F.sha2(listed(of_kinds(spans, *BASE)), 256).alias("base_sha256"),
+        listed(spans).alias("spans"),
+    )
+
+
+@query("op5_decontaminate")
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: A conversation whose texts hold the control strings of a common template.
+CONTROLS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op6_chat")
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROLS, "conv_id long, turn long, role string, text string")
+    return read_chats(format_chats(turns.union(more)))
+
+
+@query("op7_ngram_jaccard")
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=4, share=(85, 100))
+
+
+@query("op8_passages")
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
