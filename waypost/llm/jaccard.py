@@ -111,6 +111,8 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _stars(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys with their smallest owner, and links from other owners to it."""
+    if not len(keys):
+        return keys, owners, owners, owners
     order = np.argsort(keys, kind="stable")
     keys, owners = keys[order], owners[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))

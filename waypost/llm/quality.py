@@ -139,8 +139,8 @@ def fit(
     sample = texts.join(F.broadcast(chosen), "_id").select("place", "label", "text")
     vectors = sample.mapInArrow(_featuring(bits), "place long, label int, slots binary, values binary")
     one = vectors.repartition(1).sortWithinPartitions("place", "label", "slots")
-    weights = one.mapInArrow(_training(bits, epochs), "weights binary").first()[0]
-    return Model(np.frombuffer(weights, float))
+    learnt = one.mapInArrow(_training(bits, epochs), "weights binary").first()
+    return Model(np.frombuffer(learnt[0], float) if learnt else np.zeros((1 << bits) + 1))
 
 
 def _scoring(model, id_type: pa.DataType):
