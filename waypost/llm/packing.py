@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waypost.llm.tokenizing import Encoder
+from waypost.llm.tokenizing import encoder
 
 #: Longest sequence, a power of two.
 LONGEST = 2048
@@ -44,7 +44,7 @@ def _packing(tokenizer: str, longest: int, end_id: int, id_type: pa.DataType):
     end = end_id.to_bytes(4, "little")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         rows: list[tuple] = []
         held = 0
 
@@ -53,8 +53,7 @@ def _packing(tokenizer: str, longest: int, end_id: int, id_type: pa.DataType):
             return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            for doc, encoded in zip(ids, encoder(texts)):
+            for doc, encoded in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
                 encoded += end
                 start, tokens = 0, len(encoded) // 4
                 for length in cuts(tokens, longest):

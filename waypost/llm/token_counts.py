@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waypost.llm.tokenizing import Counter
+from waypost.llm.tokenizing import counter
 
 CACHE = "digest binary, n_tokens long"
 
@@ -46,10 +46,10 @@ def _cached(spark: SparkSession, path: str) -> DataFrame:
 
 def _counting(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        count_tokens = counter(path)
         for batch in batches:
-            counts = list(counter(batch.column(1).to_pylist()))
-            yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
+            counts = pa.array(count_tokens(batch.column(1)), pa.int64())
+            yield pa.record_batch([batch.column(0), counts], ["digest", "n_tokens"])
 
     return count
 
