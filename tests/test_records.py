@@ -33,39 +33,57 @@ def test_a_good_record_survives_whole(spark):
     assert rejected.isEmpty()
 
 
-@pytest.mark.parametrize(
-    ("field", "value", "reason"),
-    [
-        ("icao24", None, "icao24: required"), ("icao24", "", "icao24: empty"),
-        ("icao24", " \t", "icao24: empty"), ("icao24", 5, "icao24: not a string"),
-        ("observed_at", None, "observed_at: required"),
-        ("observed_at", 100, "observed_at: implausible epoch"),
-        ("observed_at", 99_999_999_999, "observed_at: implausible epoch"),
-        ("observed_at", 1.5e9, "observed_at: not an integer"),
-        ("observed_at", True, "observed_at: not an integer"),
-        ("observed_at", "1700000000", "observed_at: not an integer"),
-        ("observed_at", 946_684_800, None), ("observed_at", 946_684_799, "observed_at: implausible epoch"),
-        ("time_position", None, None), ("time_position", 5, "time_position: implausible epoch"),
-        ("latitude", 91.0, "latitude: out of range"), ("latitude", -91.0, "latitude: out of range"),
-        ("latitude", 90, None), ("longitude", 181.0, "longitude: out of range"),
-        ("position_source", 9, "position_source: out of range"),
-        ("position_source", None, "position_source: not an integer"),
-        ("position_source", True, "position_source: not an integer"),
-        ("category", 99, "category: out of range"), ("category", True, "category: not an integer"),
-        ("category", 20, None), ("on_ground", "yes", "on_ground: not a boolean"),
-        ("on_ground", 1, "on_ground: not a boolean"), ("spi", None, "spi: not a boolean"),
-        ("velocity", "fast", "velocity: not a number"), ("velocity", "5", "velocity: not a number"),
-        ("velocity", True, "velocity: not a number"), ("velocity", 0, None), ("velocity", None, None),
-        ("callsign", 42, "callsign: not a string"), ("callsign", {"a": 1}, "callsign: not a string"),
-        ("squawk", None, None), ("region", None, "region: required"),
-        ("position_age_seconds", "x", "position_age_seconds: not a number"),
-        ("position_age_seconds", False, "position_age_seconds: not a number"),
-        ("position_age_seconds", "12", None), ("position_age_seconds", None, None),
-    ],
-)
-def test_rules(spark, field, value, reason):
-    (row,) = verdicts(spark, RECORD | {field: value})
-    assert row.reason == reason
+NUMBERS = ("latitude", "longitude", "baro_altitude", "velocity", "true_track", "vertical_rate", "geo_altitude")
+TIMES = ("observed_at", "time_position", "last_contact", "poll_time", "ingested_at")
+FLAGS = ("on_ground", "spi")
+RANGES = {"latitude": (-90, 90), "longitude": (-180, 180), "category": (0, 20), "position_source": (0, 3)}
+EPOCHS = (946_684_800, 4_102_444_800)
+
+
+def cases():
+    """(field, value, reason) for every rule, made from the rule rather than listed."""
+    for field in ("icao24", "origin_country", "region"):
+        yield field, None, f"{field}: required"
+    for field in ("callsign", "squawk", "time_position", "category", *NUMBERS):
+        yield field, None, None
+    for field in ("icao24", "callsign", "origin_country", "squawk", "region"):
+        for wrong in (7, -2.5, True, ["KL"], {"k": "v"}):
+            yield field, wrong, f"{field}: not a string"
+    for blank in ("", "   ", "\n\t"):
+        yield "icao24", blank, "icao24: empty"
+    for field in TIMES:
+        for wrong in (False, "1706000000", 1_706_000_000.75, [1_706_000_000]):
+            yield field, wrong, f"{field}: not an integer"
+        yield field, EPOCHS[0], None
+        yield field, EPOCHS[0] - 1, f"{field}: implausible epoch"
+        yield field, 1_706_000_000_000, f"{field}: implausible epoch"  # milliseconds
+    for field in NUMBERS:
+        for wrong in (True, "12.5", [3], {"m": 3}):
+            yield field, wrong, f"{field}: not a number"
+        yield field, 7, None
+    for field, (low, high) in RANGES.items():
+        yield field, low, None
+        yield field, high, None
+        yield field, low - 1, f"{field}: out of range"
+        yield field, high + 1, f"{field}: out of range"
+    for field in ("category", "position_source"):
+        for wrong in (False, "2", 1.5):
+            yield field, wrong, f"{field}: not an integer"
+    yield "position_source", None, "position_source: not an integer"
+    for field in FLAGS:
+        for wrong in (None, 0, "true", "no"):
+            yield field, wrong, f"{field}: not a boolean"
+    for wrong in (True, "soon", "1.5"):
+        yield "position_age_seconds", wrong, "position_age_seconds: not a number"
+    for fine in (None, "31", 0, 2.25):
+        yield "position_age_seconds", fine, None
+
+
+def test_rules(spark):
+    judged = list(cases())
+    rows = verdicts(spark, *[RECORD | {field: value} for field, value, _ in judged])
+    wrong = [(c, r.reason) for c, r in zip(judged, rows) if r.reason != c[2]]
+    assert wrong == []
 
 
 def test_documents_that_are_no_record(spark):
@@ -134,6 +152,7 @@ def test_polls_decode(spark, tmp_path):
     assert zero.velocity is None and zero.category is None and zero.callsign is None
     assert (full.velocity, full.category, full.squawk, full.geo_altitude) == (0.0, 7, "0042", 11.5)
     assert {r.reason for r in bad.collect()} == {"4 fields", "last_contact: not a bigint"}
+    assert not [c for c in good.columns if c.startswith("_") or c in ("raw", "v")]
 
     records = to_records(good, F.lit(T0 + 99), F.lit("r")).orderBy("icao24").collect()
     assert (records[0].callsign, records[0].dedup_key, records[0].position_age_seconds) == (
@@ -151,6 +170,28 @@ def test_polls_decode(spark, tmp_path):
     assert shifted["states-001.json"].time_position is None
 
 
+def test_an_element_of_another_json_type_is_rejected(spark, tmp_path):
+    """Whatever its text would read as."""
+
+    def put(at, value):
+        return [*VECTOR[:at], value, *VECTOR[at + 1 :]]
+
+    wrong = [
+        (put(0, 31), "icao24: not a string"), (put(1, False), "callsign: not a string"),
+        (put(3, str(T0)), "time_position: not a bigint"), (put(4, T0 + 0.5), "last_contact: not a bigint"),
+        (put(6, "52.5"), "latitude: not a double"), (put(8, "false"), "on_ground: not a boolean"),
+        (put(8, 0), "on_ground: not a boolean"), (put(15, 1), "spi: not a boolean"),
+        (put(16, 70_000), "position_source: not a smallint"), (VECTOR + ["7"], "category: not a smallint"),
+        ([], "0 fields"),
+    ]
+    fine = [put(9, 3), put(9, -1.5e2), put(12, [1, 2]), put(1, 'q"\\,]'), VECTOR + [None], VECTOR + [3, "extra", [1]]]
+    path = write_polls(tmp_path, ("states-1.json", T0, [v for v, _ in wrong]), ("states-2.json", T0, fine))
+    good, bad = decode_vectors(read_polls(spark, path))
+    assert [r.reason for r in bad.orderBy("pos").collect()] == [reason for _, reason in wrong]
+    rows = good.orderBy("pos").collect()
+    assert len(rows) == len(fine) and rows[1].velocity == -150.0 and rows[3].callsign == 'q"\\,]'
+
+
 def test_broken_and_absent_recordings_are_errors(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_polls(spark, str(tmp_path / "states-*.json")).count()

@@ -7,7 +7,8 @@ from test_records import RECORD
 from waypost import Params, flight_sessions, schemas, state_vectors, stream_ndjson
 from waypost.plans.serving import latest_positions
 from waypost.sinks.tables import write_bronze_table
-from waypost.streaming.ingest import IngestPaths, start_bronze
+from waypost.streaming import ingest
+from waypost.streaming.ingest import IngestPaths, await_bronze, start_bronze
 from waypost.streaming.live import read_live, start_live
 from waypost.streaming.sessions import read_sessions, start_sessions
 from waypost.streaming.silver import drop_superseded, merge_latest, read_latest, start_silver, stream_bronze
@@ -39,7 +40,44 @@ def test_ingest_resumes_after_its_last_commit(spark, tmp_path):
     rejected = spark.read.json(where.quarantine).collect()
     assert [(r.reason, r.payload) for r in rejected] == [("json: unparseable", "{broken")]
     metrics = spark.read.parquet(where.metrics).orderBy("batch_at").collect()
-    assert [tuple(m)[1:] for m in metrics] == [(4, 3, 1, 2), (1, 1, 0, 1)]
+    assert [tuple(m)[1:5] for m in metrics] == [(4, 3, 1, 2), (1, 1, 0, 1)]
+
+
+def test_a_retried_batch_counts_once(spark, tmp_path, monkeypatch):
+    """The batch fails after bronze, the table and the quarantine are written."""
+    where = paths(tmp_path)
+    folder = land(tmp_path, "1.ndjson", RECORD, RECORD | {"icao24": "two"}, "{broken")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "write_quarantine", lambda rows, path, mode: (rows.write.mode(mode).json(path), fail()))
+        with pytest.raises(Exception, match="lost"):
+            start_bronze(stream_ndjson(spark, folder), where, bounded=True).awaitTermination()
+    start_bronze(stream_ndjson(spark, folder), where, bounded=True).awaitTermination()
+    assert spark.read.parquet(where.bronze).count() == spark.read.parquet(where.table).count() == 2
+    assert spark.read.json(where.quarantine).count() == 1
+    assert [tuple(m)[1:5] for m in spark.read.schema(schemas.INGEST_METRICS).parquet(where.metrics).collect()] == [(3, 2, 1, 2)]
+
+
+def test_ingest_stops_after_so_many_batches(spark, tmp_path):
+    where = paths(tmp_path)
+    for n in range(5):
+        folder = land(tmp_path, f"{n}.ndjson", RECORD | {"icao24": f"a{n}"})
+    source = stream_ndjson(spark, folder, 1)
+    assert await_bronze(start_bronze(source, where, bounded=True, max_batches=2)).batches == 2
+    assert spark.read.parquet(where.bronze).count() == 2
+    assert await_bronze(start_bronze(stream_ndjson(spark, folder, 1), where, bounded=True)).batches == 3
+    assert spark.read.parquet(where.bronze).count() == 5
+
+
+def test_lost_metrics_are_counted(spark, tmp_path):
+    where = paths(tmp_path)
+    folder = land(tmp_path, "1.ndjson", RECORD)
+    (tmp_path / "metrics").write_text("a file where the folder should be")
+    job = start_bronze(stream_ndjson(spark, folder), where, bounded=True)
+    assert await_bronze(job).lost_metrics == 1 and spark.read.parquet(where.bronze).count() == 1
 
 
 def test_ingest_stops_when_the_schema_breaks(spark, tmp_path):
@@ -62,13 +100,42 @@ def test_silver_merge_equals_batch_and_repeats_safely(spark, tmp_path):
         (r.observed_at, r.callsign, r.source_row_count) for r in state_vectors(first.unionByName(second)).collect()
     }
     got = {(r.observed_at, r.callsign, r.source_row_count) for r in read_latest(spark, path).collect()}
-    assert len(list((tmp_path / "silver" / "days" / "date=2024-01-01").glob("batch=*"))) == 2
+    hour = tmp_path / "silver" / "hours" / "date=2024-01-01" / "hour=00"
+    assert len(list(hour.glob("batch=*"))) == 2
     drop_superseded(spark, path)
-    assert [p.name for p in (tmp_path / "silver" / "days" / "date=2024-01-01").glob("batch=*")] == ["batch=1"]
+    assert [p.name for p in hour.glob("batch=*")] == ["batch=1"]
     assert read_latest(spark, path).count() == len(got)
     assert got == expected and (at(0).timestamp(), "B", 3) in {(o.timestamp(), c, n) for o, c, n in got}
 
 
+def test_a_late_row_costs_its_hour_not_its_day(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    merge_latest(bronze(spark, *[{"t": 60 * m} for m in range(24 * 60)]), path, 0)
+    merge_latest(bronze(spark, {"t": 7230, "ingested_at": at(99_000)}), path, 1)
+    rewritten = spark.read.parquet(path + "/hours").where("batch = 1")
+    assert rewritten.count() == 61 and read_latest(spark, path).count() == 24 * 60 + 1
+
+
+def test_a_fix_that_aged_between_its_copies_is_not_live(spark, tmp_path):
+    """Polled at 50 s and again at 70 s: the latest copy is stale, in whichever batch it comes."""
+    copies = [{"t": 0, "position_age_seconds": age, "ingested_at": at(age)} for age in (50, 70)]
+    for order in (copies, copies[::-1]):
+        root = tmp_path / str(order[0]["position_age_seconds"])
+        for copy in order:
+            write_bronze_table(bronze(spark, copy), str(root / "b"))
+            start_live(stream_bronze(spark, str(root / "b")), str(root / "l"), str(root / "c")).awaitTermination()
+        assert read_live(spark, str(root / "l"), at(70)).isEmpty()
+
+
+def test_live_keeps_no_more_than_it_may_show(spark, tmp_path):
+    for n in range(5):
+        write_bronze_table(bronze(spark, {"t": 1000 * n, "icao24": f"a{n}"}), str(tmp_path / "b"))
+        start_live(stream_bronze(spark, str(tmp_path / "b")), str(tmp_path / "l"), str(tmp_path / "c")).awaitTermination()
+    kept = sorted(p.name for p in (tmp_path / "l").glob("batch=*"))
+    assert kept == ["batch=3", "batch=4"]
+    assert spark.read.parquet(str(tmp_path / "l" / "batch=4")).count() == 1
+
+
 def test_silver_and_live_streams(spark, tmp_path):
     path = str(tmp_path / "b")
     rows = [{"t": t, "icao24": k, "ingested_at": at(t + c)} for t in (0, 60, 120) for k in ("a", "b") for c in (0, 9)]
@@ -86,32 +153,41 @@ def test_silver_and_live_streams(spark, tmp_path):
     assert live.exceptAll(expected).isEmpty() and live.count() == expected.count() == 2
 
 
-def test_sessions_carry_over_batches(spark, tmp_path):
+def test_sessions_equal_the_batch_in_any_order(spark, tmp_path):
     rows = [
         {"t": t, "icao24": k, "on_ground": ground}
         for k in ("a", "b")
         for t, ground in ((0, True), (10, False), (20, False), (2000, False), (2010, True), (2020, False), (9000, False))
-    ] + [{"t": 2015, "icao24": "new"}]
-    silver = state_vectors(bronze(spark, *rows))
-    parts = [silver.where(cond) for cond in (
-        "unix_seconds(observed_at) - {0} < 15", "unix_seconds(observed_at) - {0} BETWEEN 15 AND 2010",
-        "unix_seconds(observed_at) - {0} > 2010",
-    ) for cond in [cond.format(T0)]]
+    ]
+    parts = [
+        [r for r in rows if r["t"] < 15],
+        [r for r in rows if r["t"] > 2005] + [{"t": 2015, "icao24": "new"}],
+        [r for r in rows if 15 <= r["t"] <= 2005 and r["icao24"] == "a"],  # late
+        [{"t": 9500, "icao24": "b"}],
+        [{"t": 2010, "icao24": "b", "latitude": None, "ingested_at": at(9999)}],  # a later copy without a place
+        [r for r in rows if 15 <= r["t"] <= 2005 and r["icao24"] == "b"],
+    ]
     root = tmp_path / "x"
-    for part in parts:
-        part.write.mode("append").parquet(str(root / "silver"))
-        stream = spark.readStream.schema(silver.schema).parquet(str(root / "silver"))
+    for n, part in enumerate(parts):
+        write_bronze_table(bronze(spark, *part), str(root / "bronze"))
+        stream = stream_bronze(spark, str(root / "bronze"))
         start_sessions(stream, str(root / "out"), str(root / "ckpt")).awaitTermination()
-    streamed, batch = read_sessions(spark, str(root / "out")), flight_sessions(silver)
+        seen = bronze(spark, *[r for p in parts[: n + 1] for r in p])
+        streamed, batch = read_sessions(spark, str(root / "out")), flight_sessions(state_vectors(seen))
+        assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty(), n
+    assert not (root / "out" / "late").exists()
+
+
+def test_state_survives_its_compaction(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("waypost.streaming.sessions.COMPACT_EVERY", 2)
+    every = []
+    for n in range(7):
+        every.append({"t": 600 * n, "icao24": "ab"[n % 2]})
+        write_bronze_table(bronze(spark, every[-1]), str(tmp_path / "b"))
+        start_sessions(stream_bronze(spark, str(tmp_path / "b")), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    streamed, batch = read_sessions(spark, str(tmp_path / "o")), flight_sessions(state_vectors(bronze(spark, *every)))
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
-    assert spark.read.parquet(str(root / "out" / "late")).isEmpty()
-
-    # A row from the past is set aside; nothing published is renumbered.
-    state_vectors(bronze(spark, {"t": 15, "icao24": "a"})).write.mode("append").parquet(str(root / "silver"))
-    stream = spark.readStream.schema(silver.schema).parquet(str(root / "silver"))
-    start_sessions(stream, str(root / "out"), str(root / "ckpt")).awaitTermination()
-    assert spark.read.parquet(str(root / "out" / "late")).select("icao24").collect()[0].icao24 == "a"
-    assert read_sessions(spark, str(root / "out")).count() == batch.count()
+    assert sorted(p.name for p in (tmp_path / "o" / "state").glob("batch=*")) == ["batch=4", "batch=5", "batch=6"]
 
 
 def test_a_stream_cannot_look_ahead(spark, tmp_path):

@@ -31,6 +31,64 @@ def test_a_time_range_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "date" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+@pytest.mark.parametrize("hours", [-11, 0, 2, 13, None])
+def test_bounds_are_instants(spark, tmp_path, hours):
+    """A window and a retention cutoff are the same whatever zone they are written in."""
+    zone = dt.timezone(dt.timedelta(hours=hours)) if hours is not None else None
+    path = str(tmp_path / "b")
+    sinks.write_bronze(bronze(spark, *[{"t": 3600 * h + 900} for h in range(60)]), path)
+
+    def written(seconds):
+        moment = at(seconds).astimezone(dt.timezone.utc)
+        return moment.replace(tzinfo=None) if zone is None else moment.astimezone(zone)
+
+    def seconds(rows):
+        return sorted(int(r.observed_at.timestamp() - at(0).timestamp()) for r in rows.collect())
+
+    low, high = 22 * 3600 + 1200, 51 * 3600 + 600
+    expected = [3600 * h + 900 for h in range(60) if low <= 3600 * h + 900 < high]
+    assert seconds(read_bronze(spark, path, written(low), written(high))) == expected
+    sinks.apply_retention(spark, path, written(low + 30 * 86_400))
+    assert seconds(read_bronze(spark, path)) == [3600 * h + 900 for h in range(60) if 3600 * h + 900 >= low]
+
+
+@pytest.mark.parametrize("batches", [False, True])
+def test_retention_of_the_daily_table(spark, tmp_path, batches):
+    path = str(tmp_path / "t")
+    rows = [bronze(spark, *[{"t": 7200 * h + n} for h in range(40)]) for n in range(2)]
+    for n, part in enumerate(rows):
+        sinks.write_bronze_table(part, path, batch=n if batches else None)
+    early = bronze(spark, {"t": 86_400 + 60})
+    sinks.write_bronze_table(early, path, batch=2 if batches else None)  # a batch that expires whole
+    cutoff = 86_400 + 4 * 3600
+    sinks.apply_retention(spark, path, at(cutoff + 30 * 86_400))
+    kept = [int(r.observed_at.timestamp() - at(0).timestamp()) for r in spark.read.parquet(path).collect()]
+    assert sorted(kept) == sorted(7200 * h + n for h in range(40) for n in range(2) if 7200 * h + n >= cutoff)
+    assert {p.name for p in Path(path).glob("day=*")} == {"day=2024-01-02", "day=2024-01-03", "day=2024-01-04"}
+    if batches:
+        assert {p.name for p in Path(path).glob("day=2024-01-02/batch=*")} == {"batch=0", "batch=1"}
+
+
+def test_a_batch_written_again_leaves_its_rows_once(spark, tmp_path):
+    first, second = bronze(spark, {"t": 0}, {"t": 4000}), bronze(spark, {"t": 10}, {"t": 90_000})
+    for write, name in ((sinks.write_bronze, "b"), (sinks.write_bronze_table, "t")):
+        path = str(tmp_path / name)
+        write(first, path, batch=0)
+        write(second.limit(1), path, batch=1)  # what a failed attempt left
+        write(second, path, batch=1)
+        assert spark.read.parquet(path).count() == 4
+
+
+def test_expired_metrics_go_batch_by_batch(spark, tmp_path):
+    path = str(tmp_path / "m")
+    for n in range(3):
+        row = spark.createDataFrame([(at(86_400 * n), 1, 1, 0, 1)], schemas.INGEST_METRICS)
+        row.write.parquet(f"{path}/batch={n}")
+    sinks.expire_metrics(spark, path, at(86_400 * 91 + 5))
+    assert sorted(p.name for p in Path(path).glob("batch=*")) == ["batch=2"]
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_table_layout_is_sorted(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [{"t": t, "icao24": k} for k in ("b", "a") for t in (90_000, 5, 1)]
@@ -57,12 +115,16 @@ def test_retention_removes_only_what_expired(spark, tmp_path):
 def test_fanout_tries_all_targets(spark):
     tried = []
 
+    def fine(rows):
+        assert rows.is_cached  # all targets get the same rows, computed once
+        tried.append("fine")
+
     def broken(_):
         tried.append("broken")
         raise OSError("disk")
 
     df = bronze(spark, {})
-    targets = {"broken": broken, "fine": lambda _: tried.append("fine")}
+    targets = {"broken": broken, "fine": fine}
     with pytest.raises(sinks.FanoutError, match="broken"):
         sinks.write_fanout(df, targets)
     assert tried == ["broken", "fine"]
@@ -87,11 +149,21 @@ def test_ndjson_and_messages_keep_nulls(spark, tmp_path):
     assert (message.key, message.value) == ("abc123", '{"icao24":"abc123","squawk":null}')
 
 
-def test_materialize_swaps_when_written(spark):
-    first = sinks.materialize(bronze(spark, {"t": 1}, {"t": 0}), "swap_me", ["observed_at"])
-    second = sinks.materialize(bronze(spark, {"t": 5}), "swap_me")
-    assert spark.table("swap_me").count() == 1 and second.count() == 1
+def test_materialize_swaps_when_written(spark, tmp_path):
+    root = str(tmp_path / "models")
+    first = sinks.materialize(bronze(spark, {"t": 1}, {"t": 0}), "swap_me", ["observed_at"], root)
+    second = sinks.materialize(bronze(spark, {"t": 5}), "swap_me", root=root)
+    # Any session finds the new version; readers of the one before are undisturbed.
+    assert sinks.read_model(spark.newSession(), "swap_me", root).count() == 1 and second.count() == 1
     assert [r.observed_at for r in first.collect()] == sorted(r.observed_at for r in first.collect())
+    # A rebuild that fails half way changes nothing.
+    (tmp_path / "models" / "swap_me" / "version=2").mkdir()
+    assert sinks.read_model(spark, "swap_me", root).count() == 1
+    sinks.materialize(bronze(spark, {"t": 5}, {"t": 6}), "swap_me", root=root)
+    assert sinks.read_model(spark, "swap_me", root).count() == 2
+    assert not (tmp_path / "models" / "swap_me" / "version=0").exists()
+    with pytest.raises(FileNotFoundError):
+        sinks.read_model(spark, "nothing", root)
 
 
 def test_checks_report_violations(spark):

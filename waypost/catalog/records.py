@@ -264,20 +264,33 @@ def decode_positional(spark, sf):
     vec_sql(
         """SELECT reason, count(*) AS vectors FROM (
              SELECT CASE WHEN event_id % 19 = 0 THEN '4 fields'
-               WHEN event_id % 23 = 0 THEN 'last_contact: not a bigint' END AS reason FROM vec)
+               WHEN event_id % 23 = 0 THEN 'last_contact: not a bigint'
+               WHEN event_id % 29 = 0 THEN 'icao24: not a string'
+               WHEN event_id % 31 = 0 THEN 'spi: not a boolean'
+               WHEN event_id % 37 = 0 THEN 'spi: not a boolean'
+               WHEN event_id % 41 = 0 THEN 'time_position: not a bigint' END AS reason FROM vec)
            WHERE reason IS NOT NULL GROUP BY reason"""
     ),
 )
 def decode_quarantine(spark, sf):
+    """Elements of a wrong JSON type, though their text would read as the right one."""
     event = F.regexp_extract("file", "([0-9]+)", 1).cast("bigint")
-    damaged = S.polls(spark, sf).withColumn(
-        "v",
-        F.when(event % 19 == 0, F.slice("v", 1, 4))
-        .when(
-            event % 23 == 0,
-            F.concat(F.slice("v", 1, 4), F.array(F.lit("soon")), F.slice("v", 6, 20)),
+    field = r"([^,]*)"
+    first = rf"^\[{','.join([field] * 5)},"
+    spi = r"(true|false),(\d+),([^,]*)\]$"
+    damaged = P.with_fields(
+        S.polls(spark, sf)
+        .drop("v")
+        .withColumn(
+            "raw",
+            F.when(event % 19 == 0, F.regexp_replace("raw", first + ".*$", "[$1,$2,$3,$4]"))
+            .when(event % 23 == 0, F.regexp_replace("raw", first, '[$1,$2,$3,$4,"$5",'))
+            .when(event % 29 == 0, F.regexp_replace("raw", first, "[31,$2,$3,$4,$5,"))
+            .when(event % 31 == 0, F.regexp_replace("raw", spi, "1,$2,$3]"))
+            .when(event % 37 == 0, F.regexp_replace("raw", spi, '"$1",$2,$3]'))
+            .when(event % 41 == 0, F.regexp_replace("raw", first, "[$1,$2,$3,7.25,$5,"))
+            .otherwise(F.col("raw")),
         )
-        .otherwise(F.col("v")),
     )
     _, quarantined = P.decode_vectors(damaged)
     return quarantined.groupBy("reason").agg(F.count(F.lit(1)).alias("vectors"))

@@ -74,13 +74,28 @@ def join_nearest_shuffled(spark, sf):
 
 @query(
     "join_left_enrich",
+    session_sql(
+        """SELECT flight_id, departure_airport, departure_airport_name, arrival_airport,
+             arrival_airport_name FROM flights""",
+        S.flights_sql(),
+    ),
+)
+def join_left_enrich(spark, sf):
+    """The fact keeps flights whose ends match no airport."""
+    return S.flight_fact(spark, sf, strategy="shuffle").select(
+        "flight_id", "departure_airport", "departure_airport_name", "arrival_airport", "arrival_airport_name"
+    )
+
+
+@query(
+    "join_left_customer",
     """SELECT c_custkey AS custkey, n_name AS nation, o.orders, o.spent_cents
        FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
        LEFT JOIN (SELECT o_custkey, count(*) AS orders,
                     CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS spent_cents
                   FROM orders GROUP BY 1) o ON o.o_custkey = c_custkey""",
 )
-def join_left_enrich(spark, sf):
+def join_left_customer(spark, sf):
     orders = S.table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("spent_cents"),
@@ -94,24 +109,34 @@ def join_left_enrich(spark, sf):
     )
 
 
-@query(
-    "join_region_box",
-    S.with_sql(
-        """SELECT v.event_id, v.pos, b.name AS region FROM vec v JOIN boxes b
-           ON v.latitude IS NULL OR v.longitude IS NULL
-             OR (b.lat_min = 0 AND b.lon_min = 0 AND b.lat_max = 0 AND b.lon_max = 0)
-             OR (v.latitude BETWEEN b.lat_min AND b.lat_max
-                 AND v.longitude BETWEEN b.lon_min AND b.lon_max)""",
-        VEC, S.BOX_SQL,
-    ),
+_BOX_JOIN_SQL = S.with_sql(
+    """SELECT v.event_id, v.pos, b.name AS region FROM vec v JOIN boxes b
+       ON v.latitude IS NULL OR v.longitude IS NULL
+         OR (b.lat_min = 0 AND b.lon_min = 0 AND b.lat_max = 0 AND b.lon_max = 0)
+         OR (v.latitude BETWEEN b.lat_min AND b.lat_max
+             AND v.longitude BETWEEN b.lon_min AND b.lon_max)""",
+    VEC, S.BOX_SQL,
 )
-def join_region_box(spark, sf):
+
+
+def _regions(spark, sf, strategy):
     return tag_regions(
         S.vectors(spark, sf).select("event_id", "pos", "latitude", "longitude"),
         S.region_boxes(spark, sf),
+        strategy=strategy,
     ).select("event_id", "pos", "region")
 
 
+@query("join_region_box", _BOX_JOIN_SQL)
+def join_region_box(spark, sf):
+    return _regions(spark, sf, "auto")
+
+
+@query("join_region_shuffled", _BOX_JOIN_SQL)
+def join_region_shuffled(spark, sf):
+    return _regions(spark, sf, "shuffle")
+
+
 # Aggregations ----------------------------------------------------------------------
 
 _KEEP = ", ".join([*schemas.BRONZE_COLUMNS, "source_row_count"])

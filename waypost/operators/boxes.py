@@ -11,7 +11,8 @@ from waypost.params import DEFAULT_REGIONS
 from waypost.workspace import fits_broadcast
 
 _TILE = 5.0
-_ANYWHERE = -1
+#: Tiles over which vectors without a position are dealt in a shuffle.
+ANYWHERE_TILES = 64
 
 
 def default_regions(spark: SparkSession) -> DataFrame:
@@ -50,14 +51,21 @@ def _tile(lat, lon):
     return F.floor((lat + 90.0) / _TILE) * 100 + F.floor((lon + 180.0) / _TILE)
 
 
-def tag_regions(vectors: DataFrame, regions: DataFrame, out: str = "region") -> DataFrame:
+def tag_regions(
+    vectors: DataFrame, regions: DataFrame, out: str = "region", strategy: str = "auto"
+) -> DataFrame:
     """One row per vector and region that covers it.
 
     A vector without a position belongs to every region, as each regional poll
     would have returned it. Boxes are laid out on coarse tiles and joined on the
     tile; a vector is looked up in one tile, so the large side is never
-    multiplied and, with a countably small region table, never shuffled.
+    multiplied and, with a small region table, never shuffled. In a shuffle the
+    vectors without a position are dealt over ``ANYWHERE_TILES`` tiles, each with all
+    regions, and a hot tile is split by adaptive execution. ``strategy`` is ``auto``,
+    ``broadcast`` or ``shuffle``.
     """
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     south = F.when(F.col("_all"), F.lit(-90.0)).otherwise(F.greatest("lat_min", F.lit(-90.0)))
     north = F.when(F.col("_all"), F.lit(90.0)).otherwise(F.least("lat_max", F.lit(90.0)))
     west = F.when(F.col("_all"), F.lit(-180.0)).otherwise(F.greatest("lon_min", F.lit(-180.0)))
@@ -72,18 +80,21 @@ def tag_regions(vectors: DataFrame, regions: DataFrame, out: str = "region") ->
             lambda band: F.transform(steps(west, east, 180.0), lambda c: band * 100 + c),
         )
     )
+    anywhere = F.sequence(F.lit(-ANYWHERE_TILES).cast("bigint"), F.lit(-1).cast("bigint"))
     covers = (
         regions.withColumn("_all", is_global_box())
         .where((south <= north) & (west <= east))
-        .withColumn("_tile", F.explode(F.concat(tiles, F.array(F.lit(_ANYWHERE).cast("bigint")))))
+        .withColumn("_tile", F.explode(F.concat(tiles, anywhere)))
         .select(F.col("name").alias(out), "lat_min", "lon_min", "lat_max", "lon_max", "_tile")
     )
-    if fits_broadcast(covers):
+    if strategy == "broadcast" or (strategy == "auto" and fits_broadcast(covers)):
         covers = F.broadcast(covers)
+    elif strategy == "shuffle":
+        covers = covers.hint("merge")
     latitude, longitude = F.col("latitude"), F.col("longitude")
     located = vectors.drop(out).withColumn(
         "_tile",
-        F.when(has_position(), _tile(latitude, longitude)).otherwise(F.lit(_ANYWHERE)).cast("bigint"),
+        F.when(has_position(), _tile(latitude, longitude)).otherwise(-1 - F.pmod(F.xxhash64(*vectors.columns), F.lit(ANYWHERE_TILES))).cast("bigint"),
     )
     covered = in_box("latitude", "longitude", "lat_min", "lon_min", "lat_max", "lon_max")
     return located.join(covers, "_tile").where(covered).select(*vectors.drop(out).columns, out)

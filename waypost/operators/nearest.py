@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from waypost.functions.geo import band_height, cell_of, cells_within, haversine_km
 from waypost.params import EARTH_RADIUS_KM, MATCH_RADIUS_KM
-from waypost.workspace import fits_broadcast
+from waypost.workspace import fits_broadcast, settle
 
-#: Copies of the reference side that a hot cell of the left side is spread over.
-SALTS = 16
+#: Left rows that one task looks up in a cell; a cell with more is dealt over several.
+CELL_ROWS = 100_000
+
+#: Most cells that count as hot, which bounds what is broadcast about them.
+HOT_CELLS = 10_000
 
 
 def pick_strategy(right: DataFrame) -> str:
-    """``broadcast`` for a reference side that is small by count, else ``shuffle``."""
+    """``broadcast`` for a reference side that is small in rows and bytes, else ``shuffle``."""
     return "broadcast" if fits_broadcast(right) else "shuffle"
 
 
@@ -32,7 +35,7 @@ def nearest_within(
     distance: str | None = None,
     strategy: str = "auto",
     radius_km: float = EARTH_RADIUS_KM,
-    salts: int = SALTS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Attach to each left row the nearest right row no further than ``km``.
 
@@ -43,8 +46,9 @@ def nearest_within(
 
     Each reference point is listed in the few cells its circle touches, so a left
     row looks into exactly one cell. ``broadcast`` (chosen when the right side
-    is small by count) leaves the left side unshuffled whatever its skew;
-    ``shuffle`` serves any size, with hot cells salted.
+    is small) leaves the left side unshuffled whatever its skew; ``shuffle`` serves any
+    size: cells with more than ``cell_rows`` left rows are dealt over several tasks, and
+    only their reference points are copied.
     """
     if strategy == "auto":
         strategy = pick_strategy(right)
@@ -87,15 +91,28 @@ def nearest_within(
 
     if strategy != "shuffle":
         raise ValueError(f"unknown strategy {strategy!r}")
-    salted = here.where(F.col("_cell").isNotNull()).select(
+    placed = here.where(F.col("_cell").isNotNull()).select(
         *left_key,
         F.col(left_point[0]).alias("_left_lat"),
         F.col(left_point[1]).alias("_left_lon"),
         "_cell",
-        F.pmod(F.xxhash64(*left_key), F.lit(salts)).alias("_salt"),
     )
-    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    spread = points.withColumn("_salt", F.explode(every_salt))
+    heat = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    # No more than HOT_CELLS cells can each hold more than that share of all rows.
+    share = heat.agg(F.greatest(F.ceil(F.sum("_rows") / HOT_CELLS), F.lit(cell_rows))).scalar()
+    hot = heat.where(F.col("_rows") > share).select("_cell", F.ceil(F.col("_rows") / share).alias("_salts"))
+    hot = F.broadcast(settle(hot, "hot-cells"))
+    n_salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    salted = (
+        placed.join(hot, "_cell", "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*left_key), n_salts))
+        .drop("_salts")
+    )
+    spread = (
+        points.join(hot, "_cell", "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts - 1)))
+        .drop("_salts")
+    )
     best = (
         salted.join(spread, ["_cell", "_salt"])
         .withColumn("_km", F.round(haversine_km("_left_lat", "_left_lon", "_lat", "_lon", radius_km), 6))

@@ -15,6 +15,7 @@ from waypost.params import (
     MEDIUM_QUALITY_OBSERVATIONS,
     Params,
 )
+from waypost.workspace import settle
 
 SESSION_COLUMNS = [
     "flight_id", "icao24", "session_seq", "observed_at", "callsign", "origin_country",
@@ -139,6 +140,50 @@ def flight_summary(sessions: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
+#: Which end of a flight is which airport.
+ENDS = {"first": "departure", "last": "arrival"}
+
+
+def _with_airports(matched: DataFrame, airports: DataFrame, params: Params) -> DataFrame:
+    """Both ends of every flight through one shuffled lookup, joined back once."""
+    key = ["icao24", "session_seq"]
+    ends = matched.select(
+        *key,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(take).alias("end"),
+                        F.col(f"{end}_latitude").alias("latitude"),
+                        F.col(f"{end}_longitude").alias("longitude"),
+                    )
+                    for end, take in ENDS.items()
+                ]
+            )
+        ),
+    )
+    found = nearest_within(
+        ends,
+        airports,
+        left_point=("latitude", "longitude"),
+        right_point=("latitude", "longitude"),
+        right_key="icao",
+        take={"icao": "icao", "name": "name"},
+        left_key=[*key, "end"],
+        km=params.match_radius_km,
+        strategy="shuffle",
+    )
+    taken = {"icao": "airport", "name": "airport_name"}
+    both = found.groupBy(*key).agg(
+        *[
+            F.max(F.when(F.col("end") == take, F.col(c))).alias(f"{take}_{suffix}")
+            for take in ENDS.values()
+            for c, suffix in taken.items()
+        ]
+    )
+    return matched.join(both, key, "left")
+
+
 def flights(
     sessions: DataFrame,
     airports: DataFrame,
@@ -151,18 +196,22 @@ def flights(
     matched = flight_summary(sessions, params).where(
         F.col("observation_count") >= params.min_flight_observations
     )
-    for end, take in (("first", "departure"), ("last", "arrival")):
-        matched = nearest_within(
-            matched,
-            airports,
-            left_point=(f"{end}_latitude", f"{end}_longitude"),
-            right_point=("latitude", "longitude"),
-            right_key="icao",
-            take={"icao": f"{take}_airport", "name": f"{take}_airport_name"},
-            left_key=["icao24", "session_seq"],
-            km=params.match_radius_km,
-            strategy=strategy,
-        )
+    if strategy == "broadcast":
+        # Nothing is shuffled, so the ends are looked up one after the other.
+        for end, take in ENDS.items():
+            matched = nearest_within(
+                matched,
+                airports,
+                left_point=(f"{end}_latitude", f"{end}_longitude"),
+                right_point=("latitude", "longitude"),
+                right_key="icao",
+                take={"icao": f"{take}_airport", "name": f"{take}_airport_name"},
+                left_key=["icao24", "session_seq"],
+                km=params.match_radius_km,
+                strategy=strategy,
+            )
+    else:
+        matched = _with_airports(settle(matched, "flight-summary"), airports, params)
 
     both_grounded = F.col("started_on_ground") & F.col("ended_on_ground")
     gap = F.col("max_gap_seconds")

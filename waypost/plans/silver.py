@@ -22,6 +22,11 @@ def state_vectors(bronze: DataFrame, params: Params = Params()) -> DataFrame:
         tie_breakers=["poll_time", "last_contact"],
         null_policy=params.null_policy,
     )
+    return positioned(latest, params)
+
+
+def positioned(latest: DataFrame, params: Params = Params()) -> DataFrame:
+    """The rows of deduplicated copies that have a position, with what silver adds."""
     return latest.where(has_position()).withColumns(
         {
             "has_usable_position": usable_position(max_age_seconds=params.usable_fix_age_seconds),

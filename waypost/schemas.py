@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: A state vector stays JSON text until it is decoded: as an array of strings, numbers
+#: and flags could not be told from text.
 POLL = T.StructType(
     [
         T.StructField("time", T.LongType()),
-        T.StructField("states", T.ArrayType(T.ArrayType(T.StringType()))),
+        T.StructField("states", T.ArrayType(T.StringType())),
     ]
 )
 

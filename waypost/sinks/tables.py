@@ -5,13 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waypost import schemas
 from waypost.functions.scalar import partition_date, partition_hour
-from waypost.params import BRONZE_RETENTION_DAYS
-from waypost.workspace import fresh_path, settle
+from waypost.params import BRONZE_RETENTION_DAYS, METRICS_RETENTION_DAYS
+from waypost.sources.tables import utc
+from waypost.workspace import children, delete, release, settle, shared_root
 
 
 def _bronze_layout(df: DataFrame) -> DataFrame:
@@ -20,39 +23,44 @@ def _bronze_layout(df: DataFrame) -> DataFrame:
     )
 
 
-def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
+def _write_partitions(df: DataFrame, path: str, keys: Sequence[str], mode: str, batch: int | None) -> None:
+    """Partitioned Parquet. With a batch number, the batch's own folders are replaced.
+
+    ``batch=<number>`` is the innermost folder, so a batch that is written again
+    after a failure leaves each of its rows once.
+    """
+    if batch is not None:
+        df, keys, mode = df.withColumn("batch", F.lit(batch).cast("bigint")), [*keys, "batch"], "overwrite"
+    writer = df.write.mode(mode).partitionBy(*keys).option("compression", "zstd")
+    if batch is not None:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
+def write_bronze(df: DataFrame, path: str, mode: str = "append", batch: int | None = None) -> None:
     """Append Parquet under ``date=YYYY-MM-DD/hour=HH`` of ``observed_at`` (UTC).
 
     A stale fix lands in the hour it was observed. The rebalance groups each hour
     into few files and, unlike a hash repartition, splits an hour that is too
-    large for one task.
+    large for one task. One path takes either batches with numbers or plain appends.
     """
-    (
-        _bronze_layout(df)
-        .hint("rebalance", "date", "hour")
-        .write.mode(mode)
-        .partitionBy("date", "hour")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+    laid_out = _bronze_layout(df).hint("rebalance", "date", "hour")
+    _write_partitions(laid_out, path, ["date", "hour"], mode, batch)
 
 
-def write_bronze_table(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_bronze_table(df: DataFrame, path: str, mode: str = "append", batch: int | None = None) -> None:
     """Day partitions clustered by aircraft and time, for the query side.
 
     Range partitioning on all three columns lets a hot day, or a hot aircraft
     within it, spread over tasks while files keep tight min/max statistics.
     """
-    (
+    laid_out = (
         df.select(*schemas.BRONZE_COLUMNS)
         .withColumn("day", partition_date())
         .repartitionByRange("day", "icao24", "observed_at")
         .sortWithinPartitions("day", "icao24", "observed_at")
-        .write.mode(mode)
-        .partitionBy("day")
-        .option("compression", "zstd")
-        .parquet(path)
     )
+    _write_partitions(laid_out, path, ["day"], mode, batch)
 
 
 class FanoutError(RuntimeError):
@@ -66,6 +74,8 @@ def write_fanout(
 ) -> dict[str, str | None]:
     """Give one batch to every target; all are tried, then failures are reported.
 
+    The batch is persisted meanwhile, so that it is computed once and all targets get
+    the same rows.
     Returns the error text per target, None for a success. ``on_partial="fail"``
     raises when any target failed, so that the batch is retried whole;
     ``"continue"`` raises only when all did.
@@ -73,12 +83,19 @@ def write_fanout(
     if on_partial not in ("fail", "continue"):
         raise ValueError(f"unknown on_partial {on_partial!r}")
     outcome: dict[str, str | None] = {}
-    for name, write in targets.items():
-        try:
-            write(df)
-            outcome[name] = None
-        except Exception as error:  # noqa: BLE001 - every target gets its turn
-            outcome[name] = str(error)
+    held = not df.is_cached
+    if held:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, write in targets.items():
+            try:
+                write(df)
+                outcome[name] = None
+            except Exception as error:  # noqa: BLE001 - every target gets its turn
+                outcome[name] = str(error)
+    finally:
+        if held:
+            df.unpersist()
     failed = {name: error for name, error in outcome.items() if error is not None}
     if failed and (on_partial == "fail" or len(failed) == len(outcome)):
         raise FanoutError(f"targets failed: {failed}")
@@ -132,68 +149,118 @@ def write_quarantine(quarantine: DataFrame, path: str, mode: str = "append") ->
     quarantine.write.mode(mode).json(path)
 
 
-def materialize(df: DataFrame, name: str, order_by: Sequence[str] = ()) -> DataFrame:
-    """Full rebuild of a model table, swapped in when complete.
+def materialize(
+    df: DataFrame, name: str, order_by: Sequence[str] = (), root: str | None = None
+) -> DataFrame:
+    """Full rebuild of a model table under ``root``, swapped in when complete.
 
-    The rows go to a path of their own, range-sorted, and the view ``name`` is
-    repointed only after the write; readers of the previous table are undisturbed.
+    The rows are written, range-sorted, to a version folder of their own; then a small
+    pointer file names it, which every application that calls ``read_model`` sees. The
+    version before stays for readers that are still on it; older ones are deleted.
+    ``root`` defaults to ``models`` in the shared folder.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    home = model_home(spark, name, root)
+    versions = _versions(spark, home)
+    number = max(versions, default=-1) + 1
     rows = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
-    rows.write.option("compression", "zstd").parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table.createOrReplaceTempView(name)
-    return table
+    rows.write.option("compression", "zstd").parquet(f"{home}/version={number}")
+    spark.range(1).select(F.lit(number).cast("string")).coalesce(1).write.mode("overwrite").text(
+        f"{home}/current/version={number}"
+    )
+    for old in versions:
+        if old < number - 1:
+            delete(spark, f"{home}/version={old}")
+            delete(spark, f"{home}/current/version={old}")
+    return read_model(spark, name, root)
+
+
+def model_home(spark: SparkSession, name: str, root: str | None = None) -> str:
+    return f"{root or f'{shared_root(spark)}/models'}/{name}"
+
+
+def _numbered(spark: SparkSession, path: str) -> list[int]:
+    return [int(child[8:]) for child in children(spark, path) if child.startswith("version=")]
+
+
+def _versions(spark: SparkSession, home: str) -> list[int]:
+    return sorted(_numbered(spark, home))
+
+
+def read_model(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
+    """The newest complete version of a model table, from any application."""
+    home = model_home(spark, name, root)
+    complete = [
+        n for n in _numbered(spark, f"{home}/current") if "_SUCCESS" in children(spark, f"{home}/current/version={n}")
+    ]
+    if not complete:
+        raise FileNotFoundError(f"no complete version of {name} at {home}")
+    return spark.read.parquet(f"{home}/version={max(complete)}")
 
 
 def unexpired(
     df: DataFrame, as_of: dt.datetime, ts: str = "observed_at", days: int = BRONZE_RETENTION_DAYS
 ) -> DataFrame:
-    """Rows no older than ``days`` before ``as_of``."""
-    return df.where(F.col(ts) >= F.lit(as_of - dt.timedelta(days=days)))
+    """Rows no older than ``days`` before ``as_of``; without a zone it is in UTC."""
+    return df.where(F.col(ts) >= F.lit(utc(as_of) - dt.timedelta(days=days)))
 
 
 def apply_retention(
     spark: SparkSession, path: str, as_of: dt.datetime, days: int = BRONZE_RETENTION_DAYS
 ) -> None:
-    """Expire bronze rows in place.
+    """Expire bronze rows in place, in the hourly layout or the table's daily one.
 
-    Whole expired hours are removed as directories; only the hour the cutoff
-    falls into is rewritten. Everything newer is left untouched.
+    Whole expired days and hours are removed as folders; only the one the cutoff
+    falls into is rewritten. Everything newer is left untouched. ``as_of`` without a
+    zone is in UTC.
     """
-    cutoff = as_of - dt.timedelta(days=days)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    edge_date, edge_hour = cutoff.date().isoformat(), cutoff.hour
-
-    bronze = spark.read.schema(schemas.BRONZE_PARTITIONED).parquet(path)
-    edge = bronze.where(
-        (F.col("date") == F.lit(cutoff.date())) & (F.col("hour") == F.lit(edge_hour))
+    cutoff = utc(as_of) - dt.timedelta(days=days)
+    day = F.lit(cutoff.date())
+    hourly = any(c.startswith("date=") for c in children(spark, path))
+    top = "date" if hourly else "day"
+    partitions = [T.StructField(top, T.DateType())] + ([T.StructField("hour", T.IntegerType())] if hourly else [])
+    stored = spark.read.schema(T.StructType([*schemas.BRONZE.fields, *partitions])).parquet(path)
+    keys = [c for c in stored.columns if c not in schemas.BRONZE_COLUMNS]  # with batch, if it is there
+
+    edge = stored.where(F.col(top) == day)
+    if hourly:
+        edge = edge.where(F.col("hour") == cutoff.hour).withColumn("hour", partition_hour())
+    # Settled first: the edge's own files are about to be replaced.
+    kept = settle(unexpired(edge, as_of, days=days), "retention")
+    (
+        kept.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .partitionBy(*keys)
+        .parquet(path)
     )
-    # Settled first: the hour's own files are about to be replaced.
-    kept = settle(unexpired(edge.select(*schemas.BRONZE_COLUMNS), as_of, days=days), "retention")
-    edge_emptied = kept.isEmpty()
-    if not edge_emptied:
-        (
-            _bronze_layout(kept)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy("date", "hour")
-            .parquet(path)
-        )
-    for day in files.listStatus(root):
-        name = day.getPath().getName()
-        if not name.startswith("date="):
-            continue
-        if name[5:] < edge_date:
-            files.delete(day.getPath(), True)
-        elif name[5:] == edge_date:
-            for hour in files.listStatus(day.getPath()):
-                label = hour.getPath().getName()
-                expired_before = edge_hour + 1 if edge_emptied else edge_hour
-                if label.startswith("hour=") and int(label[5:]) < expired_before:
-                    files.delete(hour.getPath(), True)
+    edge_path = f"{path}/{top}={cutoff.date().isoformat()}"
+    for name in children(spark, path):
+        if name.startswith(f"{top}=") and name < f"{top}={cutoff.date().isoformat()}":
+            delete(spark, f"{path}/{name}")
+    if hourly:
+        for name in children(spark, edge_path):
+            if name.startswith("hour=") and int(name[5:]) < cutoff.hour:
+                delete(spark, f"{edge_path}/{name}")
+        edge_path = f"{edge_path}/hour={cutoff.hour:02d}"
+    if kept.isEmpty():
+        delete(spark, edge_path)
+    elif "batch" in keys:
+        live = {r.batch for r in kept.select("batch").distinct().collect()}  # batches of one edge
+        for name in children(spark, edge_path):
+            if name.startswith("batch=") and int(name[6:]) not in live:
+                delete(spark, f"{edge_path}/{name}")
+    release(kept)
+    spark.catalog.refreshByPath(path)
+
+
+def expire_metrics(
+    spark: SparkSession, path: str, as_of: dt.datetime, days: int = METRICS_RETENTION_DAYS
+) -> None:
+    """Remove the folders of ingest batches older than ``days`` before ``as_of``."""
+    cutoff = utc(as_of) - dt.timedelta(days=days)
+    rows = spark.read.schema(schemas.INGEST_METRICS).parquet(path)
+    expired = rows.groupBy("batch").agg(F.max("batch_at").alias("last")).where(F.col("last") < F.lit(cutoff))
+    for row in expired.collect():  # what expired since the last run, a row per batch
+        delete(spark, f"{path}/batch={row.batch}")
     spark.catalog.refreshByPath(path)

@@ -41,15 +41,53 @@ def read_envelopes(spark: SparkSession, path: str, lines: bool = False) -> DataF
 
 
 def read_polls(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """One row per recorded vector: ``file``, ``poll_time``, ``pos``, ``v``.
+    """One row per recorded vector: ``file``, ``poll_time``, ``pos``, ``raw``, ``v``.
 
     Polls without states give no rows.
     """
-    return read_envelopes(spark, path, lines).select(
-        "file", "poll_time", F.posexplode("states").alias("pos", "v")
+    return state_rows(read_envelopes(spark, path, lines))
+
+
+def state_rows(envelopes: DataFrame) -> DataFrame:
+    return with_fields(
+        envelopes.select("file", "poll_time", F.posexplode("states").alias("pos", "raw"))
     )
 
 
+def with_fields(states: DataFrame) -> DataFrame:
+    """Adds ``v``, the elements of the vector ``raw`` as text."""
+    return states.withColumn("v", F.from_json("raw", "array<string>"))
+
+
+def _typed_vector() -> str:
+    """A pattern of vectors whose elements all have their field's JSON type, or are null."""
+    kinds = {
+        "string": r'"(?:[^"\\]|\\.)*+"',
+        "bigint": r"-?[0-9]++",
+        "smallint": r"-?[0-9]++",
+        "double": r"-?[0-9]++(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?",
+        "boolean": "true|false",
+        "any": r'"(?:[^"\\]|\\.)*+"|\[[^\[\]]*+\]|[^\s,"\[\]{}]++',
+    }
+    parts = [
+        rf"\s*+(?:null|{kinds['any' if name == 'sensors' else kind]})\s*+"
+        for name, kind, _ in schemas.VECTOR_FIELDS
+    ]
+    least = schemas.MIN_VECTOR_FIELDS
+    rest = "".join(f"(?:,{p}" for p in parts[least:]) + "(?:,.*)?" + ")?" * len(parts[least:])
+    return rf"(?s)^\s*\[{','.join(parts[:least])}{rest}\]\s*$"
+
+
+#: What ``schema_of_variant`` calls the JSON types that a field may have.
+_JSON_TYPES = {
+    "string": "STRING|VOID",
+    "bigint": "BIGINT|VOID",
+    "smallint": "BIGINT|VOID",
+    "double": "BIGINT|DOUBLE|FLOAT|VOID|DECIMAL.*",
+    "boolean": "BOOLEAN|VOID",
+}
+
+
 def _decoded(field: str, kind: str, required: bool, at: int) -> Column:
     text = F.get(F.col("v"), F.lit(at))
     value = text if kind == "string" else text.try_cast(kind)
@@ -62,29 +100,37 @@ def decode_vectors(polls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Named, typed columns from positional vectors, and the vectors that have none.
 
     A null stays NULL in an optional field and becomes the type's zero value in a
-    required one. Vectors with fewer than 17 elements, or with an element that
-    does not read as its type, go to the second frame with a ``reason``.
+    required one. Vectors with fewer than 17 elements, or with an element of another
+    JSON type than its field's, go to the second frame with a ``reason``.
+
+    One pattern over the text tells that all types are right; only vectors that it
+    does not match have their elements' types looked at one by one.
     """
     wire = [(n, k, r, i) for i, (n, k, r) in enumerate(schemas.VECTOR_FIELDS) if n != "sensors"]
-    misread = [
-        F.when(
-            F.get(F.col("v"), F.lit(i)).isNotNull()
-            & F.get(F.col("v"), F.lit(i)).try_cast(kind).isNull(),
-            F.lit(f"{name}: not a {kind}"),
-        )
-        for name, kind, _, i in wire
-        if kind != "string"
-    ]
-    short = F.coalesce(F.size("v"), F.lit(0)) < schemas.MIN_VECTOR_FIELDS
-    judged = polls.withColumn(
-        "reason",
-        F.coalesce(F.when(short, F.concat(F.size("v").cast("string"), F.lit(" fields"))), *misread),
+    kinds = F.when(
+        ~F.col("raw").rlike(_typed_vector()),
+        F.transform(F.from_json("raw", "array<variant>"), F.schema_of_variant),
+    )
+
+    def misread(name: str, kind: str, at: int) -> Column:
+        text, found = F.get(F.col("v"), F.lit(at)), F.get(F.col("_kinds"), F.lit(at))
+        wrong = F.coalesce(~found.rlike(f"^(?:{_JSON_TYPES[kind]})$"), F.lit(False))
+        if kind != "string":
+            wrong = wrong | (text.isNotNull() & text.try_cast(kind).isNull())
+        return F.when(wrong, F.lit(f"{name}: not a {kind}"))
+
+    fields = F.coalesce(F.size("v"), F.lit(0))
+    short = F.when(
+        fields < schemas.MIN_VECTOR_FIELDS, F.concat(F.greatest(fields, F.lit(0)).cast("string"), F.lit(" fields"))
+    )
+    judged = polls.withColumn("_kinds", kinds).withColumn(
+        "reason", F.coalesce(short, *[misread(name, kind, i) for name, kind, _, i in wire])
     )
-    keep = [c for c in polls.columns if c != "v"]
+    keep = [c for c in polls.columns if c not in ("v", "raw")]
     good = judged.where(F.col("reason").isNull()).select(
         *keep, *[_decoded(*field) for field in wire]
     )
-    return good, judged.where(F.col("reason").isNotNull())
+    return good, judged.where(F.col("reason").isNotNull()).drop("_kinds")
 
 
 def time_shift(vectors: DataFrame, anchor: int) -> DataFrame:

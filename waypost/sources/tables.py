@@ -16,27 +16,32 @@ def read_bronze(
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
 ) -> DataFrame:
-    """Bronze rows observed in ``[start, end)`` (UTC).
+    """Bronze rows observed in ``[start, end)``.
 
-    Spark does not derive partition predicates from an ``observed_at`` range, so
-    the matching ``date`` and ``hour`` bounds are added here.
+    A bound without a zone is in UTC. Spark does not derive partition predicates
+    from an ``observed_at`` range, so the ``date`` and ``hour`` bounds of the same
+    UTC instants are added here.
     """
     bronze = spark.read.schema(schemas.BRONZE_PARTITIONED).parquet(path)
+    date, hour = F.col("date"), F.col("hour")
     if start is not None:
-        bronze = bronze.where(F.col("observed_at") >= F.lit(_utc(start))).where(
-            (F.col("date") > F.lit(start.date()))
-            | ((F.col("date") == F.lit(start.date())) & (F.col("hour") >= start.hour))
+        start = utc(start)
+        bronze = bronze.where(F.col("observed_at") >= F.lit(start)).where(
+            (date > F.lit(start.date())) | ((date == F.lit(start.date())) & (hour >= start.hour))
         )
     if end is not None:
-        bronze = bronze.where(F.col("observed_at") < F.lit(_utc(end))).where(
-            (F.col("date") < F.lit(end.date()))
-            | ((F.col("date") == F.lit(end.date())) & (F.col("hour") <= end.hour))
+        end = utc(end)
+        bronze = bronze.where(F.col("observed_at") < F.lit(end)).where(
+            (date < F.lit(end.date())) | ((date == F.lit(end.date())) & (hour <= end.hour))
         )
     return bronze.select(*schemas.BRONZE_COLUMNS)
 
 
-def _utc(moment: dt.datetime) -> dt.datetime:
-    return moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
+def utc(moment: dt.datetime) -> dt.datetime:
+    """The instant in UTC; a datetime without a zone is one already."""
+    if moment.tzinfo is None:
+        return moment.replace(tzinfo=dt.timezone.utc)
+    return moment.astimezone(dt.timezone.utc)
 
 
 def read_airports(spark: SparkSession, path: str) -> DataFrame:

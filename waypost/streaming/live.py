@@ -1,53 +1,79 @@
-"""Latest usable position per aircraft as a running aggregate."""
+"""Latest usable position per aircraft, kept up to date per micro-batch."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from waypost.functions.scalar import best_altitude, usable_position
-from waypost.operators.dedup import latest_per_key
+from waypost import schemas
+from waypost.operators.dedup import dedup_latest
 from waypost.params import Params
 from waypost.plans.serving import latest_positions
+from waypost.plans.silver import positioned
+from waypost.streaming.silver import KEYS, TIE_BREAKERS, VERSION
+from waypost.workspace import children, delete
 
-POSITION = (
-    "observed_at", "ingested_at", "poll_time", "callsign", "origin_country", "latitude",
-    "longitude", "altitude_m", "velocity", "true_track", "on_ground", "position_age_seconds",
-)
-
+#: Seconds of observations that are kept, back from the newest one.
+KEEP_SECONDS = 900
 
-def running_positions(bronze: DataFrame, params: Params = Params()) -> DataFrame:
-    """Streaming aggregate over raw rows; the newest copy of the newest fix wins."""
-    usable = bronze.where(
-        usable_position(max_age_seconds=params.usable_fix_age_seconds)
-    ).withColumn("altitude_m", best_altitude())
-    return (
-        usable.groupBy("icao24")
-        .agg(F.max(F.struct(*POSITION)).alias("p"))
-        .select("icao24", "p.*")
-    )
 
+def start_live(
+    bronze: DataFrame, path: str, checkpoint: str, bounded: bool = True, keep_s: int = KEEP_SECONDS
+) -> StreamingQuery:
+    """Keep the latest copy of every observation of the last ``keep_s`` seconds.
 
-def start_live(bronze: DataFrame, path: str, checkpoint: str, bounded: bool = True) -> StreamingQuery:
-    """Write the aircraft that changed in each micro-batch under ``batch=<id>``."""
+    Whether a fix is usable is judged on its latest copy, so all copies that may still
+    count are needed, not only the best position so far. Each batch writes one table
+    under ``batch=<id>`` from the one before; the last two are kept, so that a retried
+    batch finds what it started from.
+    """
 
-    def publish(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(*schemas.BRONZE_COLUMNS)
+        before = _newest(spark, path, before=batch_id)
+        if before is not None:
+            rows = rows.unionByName(spark.read.schema(schemas.BRONZE).parquet(f"{path}/batch={before}"))
+        latest = dedup_latest(rows, KEYS, VERSION, TIE_BREAKERS).drop("source_row_count")
+        newest = rows.agg(F.max("observed_at")).scalar()
+        kept = latest.where(F.col("observed_at") >= newest - F.make_interval(secs=F.lit(keep_s)))
+        kept.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch={batch_id}")
+        for name in children(spark, path):
+            if name.startswith("batch=") and int(name[6:]) < batch_id - 1:
+                delete(spark, f"{path}/{name}")
 
     trigger = {"availableNow": True} if bounded else {"processingTime": "10 seconds"}
     return (
-        running_positions(bronze)
-        .writeStream.outputMode("update")
-        .foreachBatch(publish)
+        bronze.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
-def read_live(spark: SparkSession, path: str, as_of=None, max_age_s: int = 900) -> DataFrame:
-    """The newest published position per aircraft, shaped as ``live`` shapes it."""
-    published = spark.read.parquet(path).drop("batch")
-    newest = latest_per_key(published, ["icao24"], ["observed_at", "ingested_at", "poll_time"])
-    return latest_positions(newest.withColumn("has_usable_position", F.lit(True)), as_of, max_age_s)
+def _newest(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """The newest table that is written in full."""
+    found = [int(name[6:]) for name in children(spark, path) if name.startswith("batch=")]
+    done = [n for n in found if (before is None or n < before) and "_SUCCESS" in children(spark, f"{path}/batch={n}")]
+    return max(done, default=None)
+
+
+def read_live(
+    spark: SparkSession,
+    path: str,
+    as_of: dt.datetime | None = None,
+    max_age_s: int = KEEP_SECONDS,
+    params: Params = Params(),
+) -> DataFrame:
+    """What ``latest_positions`` gives over silver, for ages up to the seconds that are kept.
+
+    ``as_of`` is not before the newest observation.
+    """
+    newest = _newest(spark, path)
+    if newest is None:
+        raise FileNotFoundError(f"nothing published at {path}")
+    latest = spark.read.schema(schemas.BRONZE).parquet(f"{path}/batch={newest}")
+    return latest_positions(positioned(latest, params), as_of, max_age_s)

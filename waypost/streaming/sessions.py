@@ -1,9 +1,10 @@
-"""Sessions numbered as observations arrive.
+"""Sessions numbered as observations arrive, late rows included.
 
-The batch operator does the work: each micro-batch is sessionized with the state
-its aircraft were left in, and the state they are left in now is written beside
-the output. State is one small row per aircraft, stored under the batch number, so
-a retried batch starts from the same state and replaces its own files.
+A micro-batch of bronze is folded into silver first. Aircraft that only moved on are
+numbered from the state they were left in; aircraft that got a row at or before the
+last one numbered (a late row, or another copy of an observation) are numbered anew
+from all their silver rows, and what was published of them before is superseded. All
+output lies in folders with the batch's number, so a retried batch replaces its own.
 """
 
 from __future__ import annotations
@@ -15,9 +16,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from waypost.functions.scalar import flight_id, flight_phase
+from waypost.operators.dedup import latest_per_key
 from waypost.operators.scans import sessionize
 from waypost.params import Params
 from waypost.plans.flights import SESSION_COLUMNS
+from waypost.plans.silver import positioned
+from waypost.streaming.silver import merge_latest, read_latest
+from waypost.workspace import children, delete
 
 STATE = T.StructType(
     [
@@ -28,22 +33,19 @@ STATE = T.StructType(
         T.StructField("last_session", T.LongType()),
     ]
 )
+_STATES = T.StructType([*STATE.fields, T.StructField("batch", T.LongType())])
+_REBUILT = T.StructType([T.StructField("icao24", T.StringType()), T.StructField("batch", T.LongType())])
 
+#: Batches between full copies of the state; the others hold the aircraft they touched.
+COMPACT_EVERY = 50
 
-def advance(
-    batch: DataFrame, state: DataFrame, params: Params = Params()
-) -> tuple[DataFrame, DataFrame]:
-    """Sessions of a silver batch, and the rows that came too late to be numbered.
 
-    A row no newer than its aircraft's state cannot be numbered without
-    renumbering what was published; it is set aside for the batch rebuild.
-    """
+def advance(rows: DataFrame, state: DataFrame, params: Params = Params()) -> DataFrame:
+    """Sessions of silver rows that are newer than their aircraft's state, if it has one."""
     if params.boundary != "takeoff_row":
         raise ValueError("a stream cannot look ahead; use boundary='takeoff_row'")
-    placed = batch.join(state.select("icao24", "last_ts"), "icao24", "left")
-    is_late = F.coalesce(F.col("observed_at") <= F.col("last_ts"), F.lit(False))
     numbered = sessionize(
-        placed.where(~is_late).drop("last_ts"),
+        rows,
         key=["icao24"],
         ts="observed_at",
         gap_s=params.session_gap_seconds,
@@ -51,68 +53,96 @@ def advance(
         chunk_s=params.chunk_seconds,
         carry=state,
     )
-    sessions = numbered.withColumns(
+    return numbered.withColumns(
         {
             "flight_id": flight_id(),
             "flight_phase": flight_phase(deadband=params.vertical_rate_deadband),
         }
     ).select(*SESSION_COLUMNS, "observation_seq")
-    return sessions, placed.where(is_late).drop("last_ts")
 
 
-def next_state(state: DataFrame, sessions: DataFrame) -> DataFrame:
+def left_in(sessions: DataFrame) -> DataFrame:
     """The state each aircraft is left in; all four measures grow with time."""
-    left_in = sessions.select(
-        "icao24",
-        F.col("observed_at").alias("last_ts"),
-        F.col("on_ground").alias("last_state"),
-        F.col("observation_seq").alias("last_seq"),
-        F.col("session_seq").alias("last_session"),
-    )
-    return (
-        state.unionByName(left_in)
-        .groupBy("icao24")
-        .agg(
-            F.max("last_ts").alias("last_ts"),
-            F.max_by("last_state", "last_ts").alias("last_state"),
-            F.max("last_seq").alias("last_seq"),
-            F.max("last_session").alias("last_session"),
-        )
+    return sessions.groupBy("icao24").agg(
+        F.max("observed_at").alias("last_ts"),
+        F.max_by("on_ground", "observed_at").alias("last_state"),
+        F.max("observation_seq").alias("last_seq"),
+        F.max("session_seq").alias("last_session"),
     )
 
 
+def _state(spark: SparkSession, path: str, before: int) -> DataFrame:
+    """The newest state of every aircraft among batches before one."""
+    if not children(spark, f"{path}/state"):
+        return spark.createDataFrame([], STATE)
+    stored = spark.read.schema(_STATES).parquet(f"{path}/state").where(F.col("batch") < before)
+    return latest_per_key(stored, ["icao24"], ["batch"]).drop("batch")
+
+
 def start_sessions(
-    silver: DataFrame, path: str, checkpoint: str, params: Params = Params(), bounded: bool = True
+    bronze: DataFrame, path: str, checkpoint: str, params: Params = Params(), bounded: bool = True
 ) -> StreamingQuery:
-    """Write ``sessions``, ``late`` and ``state`` under ``path``, one folder per batch."""
+    """Keep ``silver``, ``sessions``, ``rebuilt`` and ``state`` under ``path`` up to date."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = (
-            spark.createDataFrame([], STATE)
-            if batch_id == 0
-            else spark.read.schema(STATE).parquet(f"{path}/state/batch={batch_id - 1}")
-        )
         arrived = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        sessions, late = advance(arrived, state, params)
-        sessions = sessions.persist(StorageLevel.MEMORY_AND_DISK)
+        merge_latest(arrived, f"{path}/silver", batch_id)
+        state = _state(spark, path, batch_id)
+        touched = (
+            arrived.groupBy("icao24")
+            .agg(F.min("observed_at").alias("first"))
+            .join(state, "icao24", "left")
+            .withColumn("late", F.coalesce(F.col("first") <= F.col("last_ts"), F.lit(False)))
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        carried = touched.where("NOT late AND last_ts IS NOT NULL").select(*STATE.fieldNames())
+        # From here on silver is needed; from the start if an aircraft is new or late.
+        since = touched.agg(
+            F.when(F.count_if(F.expr("late OR last_ts IS NULL")) == 0, F.min("last_ts"))
+        ).first()[0]
+        silver = read_latest(spark, f"{path}/silver", since)
+        rows = silver.join(
+            touched.select("icao24", F.when(~F.col("late"), F.col("last_ts")).alias("_since")), "icao24"
+        ).where("_since IS NULL OR observed_at > _since")
+        sessions = advance(positioned(rows.drop("_since"), params), carried, params).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
         try:
-            for name, rows in (
-                ("sessions", sessions), ("late", late), ("state", next_state(state, sessions)),
-            ):
-                rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+            sessions.write.mode("overwrite").parquet(f"{path}/sessions/batch={batch_id}")
+            late = touched.where("late")
+            late.select("icao24").write.mode("overwrite").parquet(f"{path}/rebuilt/batch={batch_id}")
+            now = left_in(sessions)
+            if batch_id % COMPACT_EVERY == 0:
+                now = now.unionByName(state.join(now.select("icao24"), "icao24", "left_anti"))
+            now.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+            _drop_before(spark, f"{path}/state", batch_id - batch_id % COMPACT_EVERY - COMPACT_EVERY)
         finally:
-            sessions.unpersist()
-            arrived.unpersist()
+            for held in (sessions, touched, arrived):
+                held.unpersist()
 
     trigger = {"availableNow": True} if bounded else {"processingTime": "30 seconds"}
     return (
-        silver.writeStream.foreachBatch(step)
+        bronze.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def _drop_before(spark: SparkSession, path: str, batch: int) -> None:
+    """Delete the folders that a full copy made needless, one full copy back.
+
+    The batch in progress may be retried and then needs the state before itself.
+    """
+    for name in children(spark, path):
+        if name.startswith("batch=") and int(name[6:]) < batch:
+            delete(spark, f"{path}/{name}")
+
+
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/sessions").select(*SESSION_COLUMNS)
+    """All sessions as they stand: of an aircraft, the rows since it was last numbered anew."""
+    rebuilt = spark.read.schema(_REBUILT).parquet(f"{path}/rebuilt")
+    newest = rebuilt.groupBy("icao24").agg(F.max("batch").alias("_since"))
+    published = spark.read.parquet(f"{path}/sessions").join(newest, "icao24", "left")
+    return published.where(F.col("batch") >= F.coalesce("_since", F.lit(0))).select(*SESSION_COLUMNS)

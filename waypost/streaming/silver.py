@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from waypost import schemas
-from waypost.functions.scalar import partition_date
+from waypost.functions.scalar import partition_date, partition_hour
 from waypost.operators.dedup import dedup_latest
+from waypost.workspace import children, delete
 
 KEYS = ("icao24", "observed_at")
 VERSION = "ingested_at"
@@ -22,17 +25,19 @@ _STORED = T.StructType(
         *schemas.BRONZE.fields,
         T.StructField("source_row_count", T.LongType()),
         T.StructField("date", T.DateType()),
+        T.StructField("hour", T.IntegerType()),
         T.StructField("batch", T.LongType()),
     ]
 )
 
-_MANIFEST = T.StructType([T.StructField("date", T.DateType()), T.StructField("batch", T.LongType())])
+HOUR = ["date", "hour"]
+_MANIFEST = T.StructType([f for f in _STORED.fields if f.name in (*HOUR, "batch")])
 
 
 def _snapshots(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Every day in its newest snapshot, optionally among batches before one.
+    """Every hour in its newest snapshot, optionally among batches before one.
 
-    Which snapshot that is comes from the manifest, one row per batch and day, so
+    Which snapshot that is comes from the manifest, one row per batch and hour, so
     superseded snapshots are pruned and not even listed by content.
     """
     try:
@@ -41,63 +46,68 @@ def _snapshots(spark: SparkSession, path: str, before: int | None = None) -> Dat
         return None
     if before is not None:
         manifest = manifest.where(F.col("batch") < before)
-    newest = manifest.groupBy("date").agg(F.max("batch").alias("batch"))
-    stored = spark.read.schema(_STORED).parquet(f"{path}/days")
-    # One row per calendar day is broadcast.
-    return stored.join(F.broadcast(newest), ["date", "batch"])
+    newest = manifest.groupBy(*HOUR).agg(F.max("batch").alias("batch"))
+    stored = spark.read.schema(_STORED).parquet(f"{path}/hours")
+    # One row per clock hour is broadcast: 8,784 a year.
+    return stored.join(F.broadcast(newest), [*HOUR, "batch"])
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Latest copy of every observation, with the number of copies."""
+def read_latest(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
+    """Latest copy of every observation, with the number of copies; from ``since`` on if given."""
     stored = _snapshots(spark, path)
     if stored is None:
         raise FileNotFoundError(f"nothing merged at {path}")
+    if since is not None:
+        stored = stored.where((F.col("date") >= F.to_date(F.lit(since))) & (F.col("observed_at") >= F.lit(since)))
     return stored.select(*schemas.BRONZE_COLUMNS, "source_row_count")
 
 
 def merge_latest(bronze: DataFrame, path: str, batch_id: int) -> None:
-    """Fold a batch into the days it touches.
+    """Fold a batch into the hours it touches.
 
-    Each touched day is rewritten as a new snapshot, ``days/date=.../batch=<id>``,
-    from the day's previous snapshot and the batch; the manifest names it last. A
-    retried batch overwrites its own files only, so merging is idempotent and
-    readers never see half of it.
+    Each touched hour is rewritten as a new snapshot, ``hours/date=.../hour=.../batch=<id>``,
+    from its previous snapshot and the batch; the manifest names it last. A late row
+    costs its hour, not its day. A retried batch overwrites its own files only, so
+    merging is idempotent and readers never see half of it. ``drop_superseded`` removes
+    what newer snapshots have replaced.
     """
     spark = bronze.sparkSession
-    arrived = dedup_latest(bronze, KEYS, VERSION, TIE_BREAKERS).withColumn(
-        "date", F.to_date("observed_at")
+    arrived = dedup_latest(bronze, KEYS, VERSION, TIE_BREAKERS).withColumns(
+        {"date": F.to_date("observed_at"), "hour": F.hour("observed_at")}
     )
-    touched = arrived.select("date").distinct()
-    both = arrived
-    earlier = _snapshots(spark, path, before=batch_id)
-    if earlier is not None:
-        both = arrived.unionByName(earlier.join(F.broadcast(touched), "date", "left_semi").drop("batch"))
-    merged = dedup_latest(
-        both.drop("date"), KEYS, VERSION, TIE_BREAKERS, count_col="source_row_count"
-    )
-    (
-        merged.withColumns({"date": partition_date(), "batch": F.lit(batch_id)})
-        .hint("rebalance", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("date", "batch")
-        .parquet(f"{path}/days")
-    )
-    touched.write.mode("overwrite").parquet(f"{path}/manifest/batch={batch_id}")
+    arrived = arrived.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = arrived.select(*HOUR).distinct()
+        both = arrived
+        earlier = _snapshots(spark, path, before=batch_id)
+        if earlier is not None:
+            both = arrived.unionByName(earlier.join(F.broadcast(touched), HOUR, "left_semi").drop("batch"))
+        merged = dedup_latest(
+            both.drop(*HOUR), KEYS, VERSION, TIE_BREAKERS, count_col="source_row_count"
+        )
+        (
+            merged.withColumns({"date": partition_date(), "hour": partition_hour(), "batch": F.lit(batch_id)})
+            .hint("rebalance", *HOUR)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(*HOUR, "batch")
+            .parquet(f"{path}/hours")
+        )
+        touched.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/batch={batch_id}")
+    finally:
+        arrived.unpersist()
 
 
 def drop_superseded(spark: SparkSession, path: str) -> None:
     """Delete the snapshots that newer ones replaced. Run while no reader is on them."""
     manifest = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
-    newest = manifest.groupBy("date").agg(F.max("batch").alias("batch")).collect()  # a row per day
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for day in newest:
-        for snapshot in files.listStatus(hadoop.Path(f"{path}/days/date={day.date.isoformat()}")):
-            name = snapshot.getPath().getName()
-            if name.startswith("batch=") and int(name[6:]) < day.batch:
-                files.delete(snapshot.getPath(), True)
+    newest = manifest.groupBy(*HOUR).agg(F.max("batch").alias("batch"), F.count("*").alias("n"))
+    for hour in newest.where("n > 1").collect():  # a row per clock hour at most
+        folder = f"{path}/hours/date={hour.date.isoformat()}/hour={hour.hour:02d}"
+        for name in children(spark, folder):
+            if name.startswith("batch=") and int(name[6:]) < hour.batch:
+                delete(spark, f"{folder}/{name}")
 
 
 def start_silver(
@@ -120,5 +130,3 @@ def stream_bronze(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path).select(*schemas.BRONZE_COLUMNS)
-
-

@@ -6,10 +6,15 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Largest side, in rows, that any job here will broadcast by hint.
 BROADCAST_ROWS = 100_000
 
+#: Largest side in bytes.
+BROADCAST_BYTES = 64 << 20
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
@@ -54,12 +59,41 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def release(settled: DataFrame) -> None:
+    """Delete the files of a settled table; it cannot be read from then on."""
+    files = settled.inputFiles()
+    if files:
+        delete(settled.sparkSession, files[0].rpartition("/")[0])
+
+
+def _folder(spark: SparkSession, path: str):
+    """Spark's own file access, which knows the same stores as its readers."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    files, at = _folder(spark, path)
+    return [c.getPath().getName() for c in files.listStatus(at)] if files.exists(at) else []
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` on every core, if its files give fewer splits than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+def delete(spark: SparkSession, path: str) -> None:
+    files, at = _folder(spark, path)
+    files.delete(at, True)
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of text and numbers.
+
+    A look at the first ``max_rows`` + 1 rows decides. It runs the lineage of ``df``, which
+    should be a stored reference table.
+    """
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8))
+        for f in df.schema.fields
+    )
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    return seen.n <= max_rows and (seen["size"] or 0) <= max_bytes
