@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from waypost import schemas
 from waypost.catalog import standin as S
 from waypost.catalog.records import DAY, LATEST_SQL, rec_sql
 from waypost.catalog.registry import query
@@ -23,11 +24,13 @@ from waypost.operators.validation import validate
 from waypost.plans import checks as C
 from waypost.plans import profile as profiles
 from waypost.plans import serving as Q
-from waypost.plans.flights import SESSION_COLUMNS
+from waypost.plans.flights import SESSION_COLUMNS, flight_sessions, flights
 from waypost.plans.regions import region_yield
-from waypost.sinks.tables import ingest_metrics
+from waypost.plans.silver import state_vectors
+from waypost.sinks.tables import ingest_metrics, write_bronze, write_bronze_table
 from waypost.sources.polls import decode_vectors
-from waypost.workspace import settle
+from waypost.sources.tables import read_bronze
+from waypost.workspace import fresh_path, settle
 
 VEC, REC, SILVER = S.VEC_SQL, S.REC_SQL, S.SILVER_SQL
 ROUND_TRIP = replace(S.DAY_GAP, boundary="last_ground_row", gap_scope="within_session")
@@ -137,8 +140,14 @@ def q_traffic_window(spark, sf):
     ),
 )
 def q_stats(spark, sf):
-    batches = ingest_metrics(validate(S.messages(spark, sf)))
-    return Q.stats(S.bronze(spark, sf), batches, S.flight_fact(spark, sf))
+    """From the written tables, as a reader of the lake finds them."""
+    root = fresh_path(spark, "lake")
+    write_bronze_table(S.bronze(spark, sf), f"{root}/table")
+    bronze = spark.read.schema(schemas.BRONZE).parquet(f"{root}/table")
+    batches = settle(ingest_metrics(validate(S.messages(spark, sf))), "metrics")
+    silver = settle(state_vectors(bronze.select(*schemas.BRONZE_COLUMNS)), "silver")
+    fact = flights(settle(flight_sessions(silver, S.DAY_GAP), "sessions"), S.airports(spark, sf), S.DAY_GAP)
+    return Q.stats(bronze, batches, settle(fact, "flights"))
 
 
 HOUR = (dt.datetime(2024, 1, 10, 12), dt.datetime(2024, 1, 10, 13))
@@ -154,8 +163,10 @@ _FROM, _TO = (int(t.replace(tzinfo=dt.timezone.utc).timestamp()) for t in HOUR)
     ),
 )
 def q_partition_stats(spark, sf):
-    at = F.unix_seconds("observed_at")
-    return Q.partition_stats(S.bronze(spark, sf).where((at >= _FROM) & (at < _TO)))
+    """One hour of written bronze: the bounds prune all other folders."""
+    path = fresh_path(spark, "bronze")
+    write_bronze(S.bronze(spark, sf), path)
+    return Q.partition_stats(read_bronze(spark, path, *HOUR))
 
 
 _AGES = "SELECT last_contact - time_position AS age FROM vec WHERE time_position IS NOT NULL"

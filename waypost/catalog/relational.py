@@ -441,7 +441,7 @@ def win_ewma(spark, sf):
     hourly = S.bronze(spark, sf).groupBy(
         "region", F.date_trunc("hour", "poll_time").alias("poll_time")
     ).agg(F.count(F.lit(1)).alias("vectors"))
-    smoothed = ewma(hourly, "region", "poll_time", "vectors")
+    smoothed = ewma(settle(hourly, "hourly"), "region", "poll_time", "vectors")
     return smoothed.select(
         "region", "poll_time", F.col("vectors").cast("bigint").alias("vectors"),
         F.round("ewma", 6).alias("ewma"),
@@ -458,7 +458,7 @@ def win_ewma(spark, sf):
     ),
 )
 def win_poll_gap(spark, sf):
-    return poll_gaps(S.region_polls(spark, sf))
+    return poll_gaps(settle(S.region_polls(spark, sf), "region-polls"))
 
 
 @query(
@@ -477,7 +477,7 @@ def win_poll_gap(spark, sf):
 def win_quota_ledger(spark, sf):
     costs = bbox_cost(S.region_table(spark, sf)).select(F.col("name").alias("region"), "cost")
     polls = S.region_polls(spark, sf).join(costs, "region").select("region", "poll_time", "cost")
-    return quota_ledger(polls, quota=400)
+    return quota_ledger(settle(polls, "priced-polls"), quota=400)
 
 
 # Order and limit ---------------------------------------------------------------------

@@ -11,22 +11,35 @@ from waypost.functions.scalar import dedup_key
 from waypost.operators.ranks import percentile_by_index
 from waypost.schemas import VECTOR_FIELDS
 from waypost.sources.polls import CAPTURE_ORDER
+from waypost.workspace import settle
 
 STALE_SECONDS = 10
 
 
-def null_rates(polls: DataFrame) -> DataFrame:
-    """Percentage of rows in which each vector field is null, sensors included."""
-    counts = polls.agg(
+_FIELDS = [name for name, _, _ in VECTOR_FIELDS]
+
+
+def _by_width(polls: DataFrame) -> DataFrame:
+    """Rows, and nulls of every vector field, per number of elements."""
+    return polls.groupBy(F.size("v").alias("width")).agg(
         F.count(F.lit(1)).alias("rows"),
         *[
             F.count_if(F.get(F.col("v"), F.lit(i)).isNull() & (F.size("v") > i)).alias(name)
-            for i, (name, _, _) in enumerate(VECTOR_FIELDS)
+            for i, name in enumerate(_FIELDS)
         ],
     )
-    return counts.unpivot(
-        "rows", [name for name, _, _ in VECTOR_FIELDS], "field", "nulls"
-    ).select("field", "nulls", F.try_divide(F.col("nulls") * 100.0, "rows").alias("null_pct"))
+
+
+def _rates(by_width: DataFrame) -> DataFrame:
+    counts = by_width.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", *_FIELDS)])
+    return counts.unpivot("rows", _FIELDS, "field", "nulls").select(
+        "field", "nulls", F.try_divide(F.col("nulls") * 100.0, "rows").alias("null_pct")
+    )
+
+
+def null_rates(polls: DataFrame) -> DataFrame:
+    """Percentage of rows in which each vector field is null, sensors included."""
+    return _rates(_by_width(polls))
 
 
 def duplicate_rates(vectors: DataFrame) -> DataFrame:
@@ -89,7 +102,15 @@ def staleness(vectors: DataFrame) -> DataFrame:
 
 
 def profile(envelopes: DataFrame, polls: DataFrame, vectors: DataFrame) -> DataFrame:
-    """The whole profile as ``(metric, value)`` rows."""
+    """The whole profile as ``(metric, value)`` rows.
+
+    The recordings are read three times: once per argument. What several measures need
+    of the vectors is written narrow, and widths and nulls come from one aggregate.
+    """
+    vectors = settle(
+        vectors.select("icao24", "time_position", "last_contact", "on_ground", *CAPTURE_ORDER), "profile-vectors"
+    )
+    by_width = settle(_by_width(polls), "profile-widths")  # a row per number of elements
     intervals = poll_intervals(envelopes).select(
         F.inline(
             F.array(
@@ -98,9 +119,9 @@ def profile(envelopes: DataFrame, polls: DataFrame, vectors: DataFrame) -> DataF
             )
         )
     )
-    widths = polls.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n")).select(
+    widths = by_width.select(
         F.concat(F.lit("vectors_with_fields_"), F.col("width").cast("string")).alias("metric"),
-        F.col("n").cast("double").alias("value"),
+        F.col("rows").cast("double").alias("value"),
     )
     duplicates = duplicate_rates(vectors).select(
         F.inline(
@@ -133,7 +154,7 @@ def profile(envelopes: DataFrame, polls: DataFrame, vectors: DataFrame) -> DataF
             )
         )
     )
-    nulls = null_rates(polls).select(
+    nulls = _rates(by_width).select(
         F.concat(F.lit("null_pct_"), F.col("field")).alias("metric"), F.col("null_pct").alias("value")
     )
     return reduce(DataFrame.unionByName, [intervals, widths, duplicates, percentiles, shares, nulls])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waypost.operators.boxes import bbox_cost
 from waypost.operators.scans import ewma, running_total, sessionize
 from waypost.params import DAILY_QUOTAS, EWMA_ALPHA, STALENESS_CEILING_SECONDS
+from waypost.workspace import settle
 
 
 def poll_gaps(polls: DataFrame, ceiling_s: int = STALENESS_CEILING_SECONDS) -> DataFrame:
@@ -42,8 +43,9 @@ def quota_ledger(polls: DataFrame, quota: int = DAILY_QUOTAS["registered"]) -> D
 def region_yield(polls: DataFrame, regions: DataFrame, alpha: float = EWMA_ALPHA) -> DataFrame:
     """Polls, cost, smoothed vectors, vectors per credit and worst gap per region.
 
-    ``polls`` has ``region``, ``poll_time`` and ``vectors``.
+    ``polls`` has ``region``, ``poll_time`` and ``vectors``; its lineage runs once.
     """
+    polls = settle(polls.select("region", "poll_time", "vectors"), "region-polls")
     smoothed = ewma(polls, "region", "poll_time", "vectors", alpha)
     yields = smoothed.groupBy("region").agg(
         F.count(F.lit(1)).alias("polls"), F.max_by("ewma", "poll_time").alias("yield")
