@@ -24,9 +24,9 @@ from waypost.llm.shingles import mix
 #: Most labelled rows that are learnt from; which ones, their ids' hashes decide.
 SAMPLE_ROWS = 8_000
 
-#: Slots, and rounds over the sample.
+#: Slots, and examples that are learnt from one after another, round after round.
 SLOT_BITS = 18
-EPOCHS = 3
+STEPS = 24_000
 
 # Step size and its offset; penalties on absolute values and on squares.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.05, 0.05
@@ -64,14 +64,14 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.weights[slots] @ values, -35, 35))))
 
 
-def train(examples: list[tuple[int, np.ndarray, np.ndarray]], bits: int, epochs: int) -> np.ndarray:
-    """FTRL-proximal weights after ``epochs`` rounds over (label, slots, values)."""
+def train(examples: list[tuple[int, np.ndarray, np.ndarray]], bits: int, steps: int) -> np.ndarray:
+    """FTRL-proximal weights after whole rounds, ``steps`` at least, over (label, slots, values)."""
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
 
     def weights(z, n):
         return np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
-    for _ in range(epochs):
+    for _ in range(-(-steps // max(1, len(examples)))):
         for label, slots, values in examples:
             zs, ns = z[slots], n[slots]
             w = weights(zs, ns)
@@ -98,14 +98,14 @@ def _featuring(bits: int):
     return extract
 
 
-def _training(bits: int, epochs: int):
+def _training(bits: int, steps: int):
     def fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = [
             (label, np.frombuffer(slots, np.int32), np.frombuffer(values, np.float32))
             for batch in batches
             for label, slots, values in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))
         ]
-        yield pa.record_batch([pa.array([train(examples, bits, epochs).tobytes()], pa.binary())], ["weights"])
+        yield pa.record_batch([pa.array([train(examples, bits, steps).tobytes()], pa.binary())], ["weights"])
 
     return fit_sample
 
@@ -119,7 +119,7 @@ def fit(
     label_col: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
     bits: int = SLOT_BITS,
-    epochs: int = EPOCHS,
+    steps: int = STEPS,
 ) -> Model:
     """A model of ``label_col`` (0 or 1) from labelled rows that are not held out.
 
@@ -139,7 +139,7 @@ def fit(
     sample = texts.join(F.broadcast(chosen), "_id").select("place", "label", "text")
     vectors = sample.mapInArrow(_featuring(bits), "place long, label int, slots binary, values binary")
     one = vectors.repartition(1).sortWithinPartitions("place", "label", "slots")
-    learnt = one.mapInArrow(_training(bits, epochs), "weights binary").first()
+    learnt = one.mapInArrow(_training(bits, steps), "weights binary").first()
     return Model(np.frombuffer(learnt[0], float) if learnt else np.zeros((1 << bits) + 1))
 
 
