@@ -28,6 +28,9 @@ BLOCK_BYTES = 1024
 #: (One class comes first, so that the matcher passes over other characters quickly.)
 WHITE_SPACE = r"[\x20\x09-\x0D](?:(?<=[\x09-\x0D])|(?=[\x20\x09-\x0D]))[\x20\x09-\x0D]*"
 
+#: Most groups of equal texts that are broadcast.
+HOT_GROUPS = 10_000
+
 _KEY = "_waypost_text_key"
 
 
@@ -139,7 +142,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     named = settle(name_texts(docs, id_col, text_col, **options), "text-names")
     key = ["n_bytes", "name"]
     groups = named.groupBy(*key).agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
-    return named.join(groups, key).select(
+    # No more than HOT_GROUPS groups can each hold more than that share of all rows; these
+    # are broadcast, and only the rows of small groups are shuffled to meet theirs.
+    hot = groups.filter(F.col("group_size") > F.greatest(F.lit(2), F.lit(named.count()) / HOT_GROUPS))
+    hot = settle(hot, "hot-groups")
+    placed = named.join(F.broadcast(hot), key, "left")
+    cold = placed.filter("keep_id IS NULL AND group_size IS NULL").drop("keep_id", "group_size")
+    small = groups.join(F.broadcast(hot.select(*key)), key, "left_anti")
+    found = placed.filter("group_size IS NOT NULL").unionByName(cold.join(small, key))
+    return found.select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",
