@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waypost.llm.tokenizing import counter
+from waypost.workspace import settle
 
 CACHE = "digest binary, n_tokens long"
 
@@ -87,7 +88,8 @@ def token_counts(
     add to one cache at a time may both store a count; it is the same and is read once.
     """
     folder = fill_cache(docs, text_col, tokenizer, cache)
-    counts = docs.sparkSession.read.schema(CACHE).parquet(folder).dropDuplicates(["digest"])
+    # Written, so that the join can split the rows of a text that very many have.
+    counts = settle(docs.sparkSession.read.schema(CACHE).parquet(folder).dropDuplicates(["digest"]), "counts")
     slim = docs.select(
         F.col(id_col),
         F.octet_length(content(F.col(text_col))).cast("long").alias("n_bytes"),
