@@ -5,27 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waypost.workspace import settle
+from waypost.workspace import release, settle
 
+#: Most nodes that are broadcast, and the fewest links of a node among them.
+HOT_NODES = 10_000
+HOT_LINKS = 1_000
 
-def _to_smallest(pairs: DataFrame) -> DataFrame:
+
+def _to_smallest(pairs: DataFrame, n_links: int) -> DataFrame:
     """``pairs`` (u, v) with the smallest of ``u`` and all its ``v`` as ``low``.
 
-    The smallest is combined before the shuffle, and a hot ``u`` is a hot side of a
-    plain join, which adaptive execution splits.
+    The smallest is combined before the shuffle. No more than ``HOT_NODES`` nodes can each
+    have more than that share of all links; what is found for these is broadcast, and only
+    the links of other nodes are shuffled to meet it.
     """
-    lows = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
-    return pairs.join(lows, "u")
+    lows = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"), F.count("*").alias("n"))
+    is_hot = F.col("n") > max(HOT_LINKS, 2 * n_links // HOT_NODES)
+    hot = F.broadcast(lows.filter(is_hot).select("u", F.col("low").alias("hot_low")))
+    placed = pairs.join(hot, "u", "left")
+    cold = placed.filter("hot_low IS NULL").select("u", "v").join(lows.filter(~is_hot).drop("n"), "u")
+    return cold.union(placed.filter("hot_low IS NOT NULL").select("u", "v", "hot_low"))
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, n_links: int) -> DataFrame:
     both = links.union(links.select("v", "u"))
-    return _to_smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    return _to_smallest(both, n_links).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, n_links: int) -> DataFrame:
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    starred = _to_smallest(down)
+    starred = _to_smallest(down, n_links)
     return starred.select("v", "low").union(starred.select("u", "low")).toDF("u", "v").filter("u <> v")
 
 
@@ -40,9 +49,13 @@ def components(links: DataFrame) -> DataFrame:
     links = links.toDF("u", "v").dropna()
     alone = links.filter("u = v").select("u")
     links = settle(links.filter("u <> v").distinct(), "links")
-    before = None
-    while True:
-        links = settle(_small_star(_large_star(links)).distinct(), "stars")
+    before, n_links = None, links.count()
+    while n_links:
+        stars = settle(_large_star(links, n_links), "stars")
+        shorter = settle(_small_star(stars, n_links).distinct(), "links")
+        release(links)
+        release(stars)
+        links = shorter
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

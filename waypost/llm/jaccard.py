@@ -8,13 +8,14 @@ all pairs are X times its transpose. Sizes keep that product small:
   H from a + b alone. The n-gram space is cut into more than H ranges, so two such sets
   agree on a whole range, and the print of a set's part in a range is a key they share.
   Sizes are taken in classes, since H and the ranges depend on them; a document takes
-  part in its own class and the one below. Rows that share keys are linked into
-  families, by one link to the smallest row of each key, never all pairs.
-* Product. Within a family the product is accumulated row by row over the columns that
-  two rows have; rows with too few such columns for their size are left out, and pairs
-  below the bound of their sizes are discarded. A large family is cut into tiles and
-  each pair of tiles is a task of bounded size. Of the links a task finds it returns a
-  forest, since only reachability is asked for.
+  part in its own class and the one below. With more ranges than H + 1 they agree on more
+  than one, so a row that shares fewer keys than that with all others together is similar
+  to none and leaves: documents that merely share a passage go here. Rows that share keys
+  are linked into families, by one link to the smallest row of each key, never all pairs.
+* Product. Within a family the product is accumulated row by row over the live columns,
+  and pairs below the bound of their sizes are discarded. A large family is cut into
+  tiles and each pair of tiles is a task of bounded size. Of the links a task finds it
+  returns a forest, since only reachability is asked for.
 
 Keys and sets travel as packed arrays in blocks of bounded size. A key that many rows
 of a map task have leaves it once.
@@ -40,7 +41,7 @@ from waypost.workspace import settle
 BLOCK_KEYS = 1_000_000
 
 #: N-grams of the rows in a tile of a family, and of the small families in a task.
-TILE_GRAMS = 250_000
+TILE_GRAMS = 500_000
 
 #: Keys for each byte of text, about; only sizes the blocks.
 KEYS_PER_BYTE = 0.06
@@ -62,24 +63,26 @@ class Sizes:
     def ranges(self, k: int) -> tuple[int, int]:
         """(H, ranges) for pairs whose smaller set is in class ``k``.
 
-        Beyond H + 1 there are spare ranges, so that agreeing on empty parts alone is
-        impossible for a set with fewer empty parts than that.
+        Similar sets agree on at least ranges - H parts, some of which may be empty.
         """
         while len(self.lows) < k + 2:
             self.lows.append(self.lows[-1] * self.q // self.p + 1)
         a = self.lows[k + 1] - 1
         h = (self.q - self.p) * (a + a * self.q // self.p) // (self.q + self.p)
-        return h, h + 1 + h // 24
+        return h, h + 1 + h // 8
 
     def similar(self, overlap: np.ndarray, a: int, b: np.ndarray) -> np.ndarray:
         return self.q * overlap >= self.p * (a + b - overlap)
 
 
-def set_keys(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
-    """The keys of a sorted set; two similar, different sets share at least one."""
+def set_keys(grams: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, int]:
+    """The keys of a sorted set, and how many of them any similar, different set shares at least.
+
+    Empty parts are keys only if they alone could be what two sets agree on.
+    """
     own = sizes.size_class(len(grams))
     spread = mix(grams)
-    found = []
+    found, shared = [], []
     for k in (own - 1, own):
         h, n_ranges = sizes.ranges(k) if k >= 0 else (0, 0)
         if not h:
@@ -89,10 +92,12 @@ def set_keys(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
         parts = at[first]
         label = np.uint64(k + 1) << np.uint64(32)
         found.append(mix(np.add.reduceat(spread, first) ^ mix(label | parts)))
-        if n_ranges - len(parts) >= n_ranges - h:
+        n_empty = n_ranges - len(parts)
+        shared.append(n_ranges - h - n_empty)
+        if shared[-1] <= 0:
             empty = np.setdiff1d(np.arange(n_ranges, dtype=np.uint64), parts, assume_unique=True)
             found.append(mix(mix(label | empty)))
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+    return (np.concatenate(found) if found else np.empty(0, np.uint64)), max(1, min(shared, default=1))
 
 
 def set_prints(grams: np.ndarray) -> tuple[int, int]:
@@ -101,52 +106,55 @@ def set_prints(grams: np.ndarray) -> tuple[int, int]:
     return high - (1 << 63), low - (1 << 63)
 
 
-def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs with the sum of ``n``."""
     order = np.lexsort((b, a))
-    a, b = a[order], b[order]
+    a, b, n = a[order], b[order], n[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return a[new], b[new]
+    first = np.flatnonzero(new)
+    return a[first], b[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _stars(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys with their smallest owner, and links from other owners to it."""
+    """Distinct keys with their smallest owner, and links from other owners to it with their keys' number."""
     if not len(keys):
-        return keys, owners, owners, owners
+        return keys, owners, owners, owners, owners
     order = np.argsort(keys, kind="stable")
     keys, owners = keys[order], owners[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     low = np.minimum.reduceat(owners, first)
     lows = np.repeat(low, np.diff(np.append(first, len(keys))))
     other = owners != lows
-    return (keys[first], low, *_distinct_pairs(owners[other], lows[other]))
+    ones = np.ones(int(other.sum()), np.int64)
+    return (keys[first], low, *_counted_pairs(owners[other], lows[other], ones))
 
 
-_SENT = "block int, kind int, a binary, b binary, c binary, d binary"
+_SENT = "block int, kind int, a binary, b binary, c binary, d binary, e binary"
 _KEYS, _DOCS, _LINKS = 0, 1, 2
 
 
 def _sending(n: int, share: tuple[int, int], n_blocks: int):
     def rows(found: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-        names = ["block", "kind", "a", "b", "c", "d"]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+        names = ["block", "kind", "a", "b", "c", "d", "e"]
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found), kinds)], names)
 
     def flush(docs: list[tuple], keys: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
-        ids, sizes, prints, checks = (np.array(c, np.int64) for c in zip(*docs))
-        any_block = int(ids[0] % n_blocks)
-        out = [(any_block, _DOCS, ids.tobytes(), sizes.tobytes(), prints.tobytes(), checks.tobytes())]
+        columns = [np.array(c, np.int64) for c in zip(*docs)]
+        any_block = int(columns[0][0] % n_blocks)
+        out = [(any_block, _DOCS, *(c.tobytes() for c in columns))]
         if keys:
             owner = np.repeat(np.array(owners, np.int64), [len(k) for k in keys])
-            key, low, a, b = _stars(np.concatenate(keys), owner)
+            key, low, a, b, n = _stars(np.concatenate(keys), owner)
             if len(a):
-                out.append((any_block, _LINKS, a.tobytes(), b.tobytes(), None, None))
+                out.append((any_block, _LINKS, a.tobytes(), b.tobytes(), n.tobytes(), None, None))
             block = ((key >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)  # keys are sorted
             edges = np.searchsorted(block, np.arange(n_blocks + 1, dtype=np.uint64))
             for k in range(n_blocks):
                 s, e = edges[k], edges[k + 1]
                 if s < e:
-                    out.append((k, _KEYS, key[s:e].tobytes(), low[s:e].tobytes(), None, None))
+                    out.append((k, _KEYS, key[s:e].tobytes(), low[s:e].tobytes(), None, None, None))
         return rows(out)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +165,10 @@ def _sending(n: int, share: tuple[int, int], n_blocks: int):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 grams = shingle_set(text or b"", n)
                 high, low = set_prints(grams)
-                docs.append((doc, len(grams), high, low))
+                found, shared = set_keys(grams, sizes) if len(grams) else (None, 1)
+                docs.append((doc, len(grams), high, low, shared))
                 if len(grams) and (high, low) not in seen:
                     seen.add((high, low))
-                    found = set_keys(grams, sizes)
                     keys.append(found)
                     owners.append(high)
                     held += len(found)
@@ -174,35 +182,38 @@ def _sending(n: int, share: tuple[int, int], n_blocks: int):
     return send
 
 
-_MET = "id long, n_shingles long, cls long, chk long, pivot long"
+_MET = "id long, n_shingles long, cls long, chk long, shared long, pivot long"
 
 
 def _meet(sent: pa.Table) -> pa.Table:
-    """The documents of a block as rows, and the links its keys make."""
+    """The documents of a block as rows, and the links its keys make.
+
+    ``shared`` is how many keys a document must share, or how many a link stands for.
+    """
 
     def joined(kind: int, column: str, dtype) -> np.ndarray:
         held = sent.filter(pc.equal(sent["kind"], kind))[column]
         return np.frombuffer(b"".join(held.to_pylist()), dtype)
 
-    docs = [joined(_DOCS, c, np.int64) for c in "abcd"]
-    a, b = joined(_LINKS, "a", np.int64), joined(_LINKS, "b", np.int64)
+    ids, sizes, prints, checks, shared = (joined(_DOCS, c, np.int64) for c in "abcde")
+    a, b, n = (joined(_LINKS, c, np.int64) for c in "abc")
     keys = joined(_KEYS, "a", np.uint64)
     if len(keys):
-        _, _, more_a, more_b = _stars(keys, joined(_KEYS, "b", np.int64))
-        a, b = _distinct_pairs(np.concatenate((a, more_a)), np.concatenate((b, more_b)))
-    none = lambda k: pa.nulls(k, pa.int64())
-    made = [pa.array(np.concatenate((c, x)) if x is not None else c) for c, x in zip(docs, (None, None, a, None))]
+        _, _, *more = _stars(keys, joined(_KEYS, "b", np.int64))
+        a, b, n = _counted_pairs(*(np.concatenate(x) for x in zip((a, b, n), more)))
+    none = pa.nulls(len(a), pa.int64())
     columns = [
-        pa.chunked_array([made[0], none(len(a))]),
-        pa.chunked_array([made[1], none(len(a))]),
-        pa.chunked_array([made[2]]),
-        pa.chunked_array([made[3], none(len(a))]),
-        pa.chunked_array([none(len(docs[0])), pa.array(b)]),
+        pa.chunked_array([pa.array(ids), none]),
+        pa.chunked_array([pa.array(sizes), none]),
+        pa.chunked_array([pa.array(prints), pa.array(a)]),
+        pa.chunked_array([pa.array(checks), none]),
+        pa.chunked_array([pa.array(shared), pa.array(n)]),
+        pa.chunked_array([pa.nulls(len(ids), pa.int64()), pa.array(b)]),
     ]
-    return pa.table(columns, names=["id", "n_shingles", "cls", "chk", "pivot"])
+    return pa.table(columns, names=[x.split()[0] for x in _MET.split(", ")])
 
 
-_SETS = "family long, tiles int, tile int, id long, grams binary"
+_SETS = "family long, id long, n int, grams binary"
 
 
 def _gathering(n: int):
@@ -210,13 +221,13 @@ def _gathering(n: int):
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _SETS.split(", ")]
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 grams = shingle_set(row["text"] or b"", n)
                 if set_prints(grams) == (row["cls"], row["chk"]):
-                    out.append((row["family"], row["tiles"], row["tile"], row["id"], grams.tobytes()))
+                    out.append((row["family"], row["id"], len(grams), grams.tobytes()))
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
@@ -309,25 +320,42 @@ def jaccard_components(
     sent = source.mapInArrow(_sending(n, share, n_blocks), _SENT)
     met = settle(sent.groupBy("block").applyInArrow(_meet, _MET), "keys-met")
     rows = met.filter("pivot IS NULL").drop("pivot")
-    families = settle(components(met.filter("pivot IS NOT NULL").select("cls", "pivot")), "families")
+    links = met.filter("pivot IS NOT NULL").groupBy("cls", "pivot").agg(F.sum("shared").alias("keys"))
+    links = settle(links, "key-links")
 
     classes = settle(
-        rows.filter("n_shingles > 0").groupBy("cls", "chk").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n")),
+        rows.filter("n_shingles > 0")
+        .groupBy("cls", "chk")
+        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("shared").alias("shared")),
         "set-classes",
     )
+    # No less than the keys a class shares: those of its links, to it and from it.
+    both = links.select("cls", "keys").union(links.select("pivot", "keys"))
+    enough = (
+        both.groupBy("cls").agg(F.sum("keys").alias("keys")).join(classes, "cls").filter("keys >= shared").select("cls").distinct()
+    )
+    enough = settle(enough, "classes-with-keys")
+    # A link counts if its class stays, or is where such a class' link leads to.
+    near = links.join(enough, "cls", "left_semi")
+    through = near.select(F.col("pivot").alias("cls")).union(enough).distinct()
+    families = settle(components(links.join(through, "cls", "left_semi").select("cls", "pivot")), "families")
+
     # Different sets with one 64-bit print are a family too.
     shared = classes.groupBy("cls").count().filter("count > 1").select("cls")
     family = families.toDF("cls", "family").union(
         shared.join(families.select(F.col("node").alias("cls")), "cls", "left_anti").select("cls", F.col("cls").alias("family"))
     )
-    members = settle(classes.join(family, "cls"), "family-members")
-    tiles = members.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(TILE_GRAMS)).cast("int").alias("tiles"))
-    asked = members.join(tiles, "family").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    sets = settle(source.join(asked, "id").mapInArrow(_gathering(n), _SETS), "sets")
-
-    n_small = int((members.agg(F.sum("n")).first()[0] or 0) // TILE_GRAMS) + 1
+    stay = enough.union(shared).distinct()
+    members = settle(classes.join(family, "cls").join(stay, "cls", "left_semi"), "family-members")
+    sets = settle(source.join(members, "id").mapInArrow(_gathering(n), _SETS), "sets")
+    # Written, so that the join's hot families can be split.
+    tiles = settle(
+        sets.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(TILE_GRAMS)).cast("int").alias("tiles")), "tiles"
+    )
+    n_small = int((sets.agg(F.sum("n")).first()[0] or 0) // TILE_GRAMS) + 1
     with_tile = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    dealt = sets.withColumn("other", with_tile).select(
+    placed = sets.join(tiles, "family").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    dealt = placed.withColumn("other", with_tile).select(
         F.when(F.col("tiles") > 1, F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(n_small))).alias("task"),
         (F.col("tiles") > 1).alias("cut"),
         F.least("tile", "other").alias("i"),
