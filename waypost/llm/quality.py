@@ -125,7 +125,8 @@ def fit(
 
     At most ``sample_rows`` labels are learnt from, those whose ids have the smallest
     hashes, in that order; so many ids are broadcast and so many feature vectors meet
-    in one task. Labels that are null or without an id are left out; without any label
+    in one task: of an id that ``docs`` repeats, the text with the smallest hash is
+    learnt from. Labels that are null or without an id are left out; without any label
     all scores are 0.5.
     """
     chosen = (
@@ -136,6 +137,8 @@ def fit(
         .limit(sample_rows)
     )
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))  # combined before the shuffle
+    texts = texts.join(F.broadcast(chosen.select("_id").distinct()), "_id").groupBy("_id").agg(first["text"].alias("text"))
     sample = texts.join(F.broadcast(chosen), "_id").select("place", "label", "text")
     vectors = sample.mapInArrow(_featuring(bits), "place long, label int, slots binary, values binary")
     one = vectors.repartition(1).sortWithinPartitions("place", "label", "slots")
