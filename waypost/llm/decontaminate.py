@@ -8,8 +8,9 @@ Every document looks up all its shingles, whatever its length, so a short item i
 found in a long document and no true pair is missed; a candidate is then verified by
 exact shingle containment, on the words themselves.
 
-The items are taken in blocks of bounded size (a stated query set). A block is all
-that tasks get besides their documents; more items are more passes over the documents.
+The items' distinct texts are taken in blocks of bounded size (a stated query set). A
+block is all that tasks and the driver hold besides documents; more items are more passes
+over the documents, each written before the next block is read.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from waypost.llm.shingles import sequence_prints, word_prints, words
+from waypost.workspace import release, settle
 
 #: Words in a shingle, and the share of an item's shingles a document must hold.
 SHINGLE = 5
@@ -94,7 +96,7 @@ class Index:
 
 
 def _searching(index, id_type: pa.DataType, item_type: pa.DataType):
-    names = ["id", "item", "n_held", "n_item"]
+    names = ["id", "digest", "n_held", "n_item"]
     types = [id_type, item_type, pa.int64(), pa.int64()]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,22 +135,34 @@ def find_leaks(
     """
     spark = docs.sparkSession
     out_item = item_id if item_id != id_col else f"item_{item_id}"
-    kind, item_kind = docs.schema[id_col].dataType, items.schema[item_id].dataType
-    schema = f"id {kind.simpleString()}, item {item_kind.simpleString()}, n_held long, n_item long"
-    asked = items.select(F.col(item_id), F.col(item_text).alias("text"))
-    total = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    kind = docs.schema[id_col].dataType
+    schema = f"id {kind.simpleString()}, digest string, n_held long, n_item long"
+    asked = items.select(
+        F.col(item_id).alias("_item"), F.sha2(F.col(item_text).cast("binary"), 256).alias("digest"), F.col(item_text).alias("text")
+    ).filter("text IS NOT NULL")
+    texts = asked.select("digest", "text").dropDuplicates(["digest"])
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = total // block_bytes + 1
-    block = F.pmod(F.xxhash64(F.col(item_id), F.col("text")), F.lit(n_blocks))
+    block = F.pmod(F.xxhash64("digest"), F.lit(n_blocks))
     source = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("text"))
+    if n_blocks > 1:
+        texts = settle(texts, "items")
     parts = []
     for k in range(n_blocks):
-        held = asked if n_blocks == 1 else asked.filter(block == k)
+        held = texts if n_blocks == 1 else texts.filter(block == k)
         # A block's texts are about ``block_bytes``; that much goes through the driver.
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in held.collect()], n, share))
-        parts.append(source.mapInArrow(_searching(index, to_arrow_type(kind), to_arrow_type(item_kind)), schema))
-    return reduce(DataFrame.unionByName, parts).select(
+        part = source.mapInArrow(_searching(index, to_arrow_type(kind), pa.string()), schema)
+        if n_blocks > 1:
+            part = settle(part, "leaks")
+            index.destroy()
+        parts.append(part)
+    if n_blocks > 1:
+        release(texts)
+    found = reduce(DataFrame.unionByName, parts).join(asked.select("_item", "digest"), "digest")
+    return found.select(
         F.col("id").alias(id_col),
-        F.col("item").alias(out_item),
+        F.col("_item").alias(out_item),
         "n_held",
         "n_item",
         (F.col("n_held") / F.col("n_item")).alias("containment"),
