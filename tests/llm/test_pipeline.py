@@ -86,7 +86,7 @@ def test_run_and_registration(spark):
     ]
     found = entry_points.queries()
     assert found["pipeline"] is corpus_pipeline.run
-    assert {n.split("_")[0] for n in found if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in found if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from waypost.llm.chat import format_chats, read_chats
 from waypost.llm.decontaminate import find_leaks
+from waypost.llm.divergence import source_divergence
 from waypost.llm.exact_dedup import exact_groups
 from waypost.llm.html_text import extract_text
 from waypost.llm.jaccard import jaccard_components
@@ -123,3 +124,51 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query(
+    "op11_source_divergence",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'
+               ) AS found
+        FROM documents
+    ),
+    w AS (SELECT row, lang, source, unnest(found) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY ALL HAVING count(DISTINCT row) >= 30),
+    langs AS (SELECT lang, count(*) AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    totals AS (
+        SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total
+        FROM (SELECT DISTINCT lang, source FROM d) AS g LEFT JOIN counts AS c ON (c.lang, c.source) = (g.lang, g.source)
+        GROUP BY ALL
+    ),
+    cells AS (
+        SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+               1 + 1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT // (t.total + 5 * v) AS p,
+               1 + 1000000000 * (k.lang_n + 5)::HUGEINT // (lang_total + 5 * v) AS q
+        FROM totals AS t JOIN kept AS k USING (lang) JOIN langs USING (lang)
+        LEFT JOIN counts AS c ON (c.lang, c.source, c.term) = (t.lang, t.source, k.term)
+    ),
+    rows AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+        FROM totals AS a JOIN totals AS b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN (
+            SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+            FROM cells AS x JOIN cells AS y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+            GROUP BY ALL
+        ) AS s ON (s.lang, s.source, s.item) = (a.lang, a.source, b.source)
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q FROM cells WHERE n > 0 AND p > q
+    )
+    SELECT lang, source, part, item, value::BIGINT AS value,
+           (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+    FROM rows
+    QUALIFY part = 'pair' OR rank <= 50
+    """,
+)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
