@@ -19,6 +19,7 @@ from waypost.llm.passages import repeated_passages
 from waypost.llm.pii import BASE, find_spans, listed, of_kinds
 from waypost.llm.quality import fit, score
 from waypost.llm.token_counts import token_counts
+from waypost.llm.url_filter import ORDER, judge_urls
 from waypost.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +173,91 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
+
+
+# The rules of the query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def _url_sql(order: int) -> str:
+    """The models level by level, from the alphabet up."""
+    kinds = ("allow", "block")
+    levels = [
+        f"""
+        g{order + 1} AS (
+            SELECT substr(repeat(chr(2), {order}) || url || chr(3), i, {order + 1}) AS gram,
+                   count(*) FILTER (example = 'allow') AS allow, count(*) FILTER (example = 'block') AS block
+            FROM spots GROUP BY 1
+        )"""
+    ]
+    for k in range(order, 0, -1):
+        levels.append(f"g{k} AS (SELECT substr(gram, 2) AS gram, sum(allow) AS allow, sum(block) AS block FROM g{k + 1} GROUP BY 1)")
+    for k in range(1, order + 2):
+        shares = []
+        for kind in kinds:
+            lower = f"{kind}_chance" if k > 1 else "1.0 / (SELECT count(*) FROM g1)::DOUBLE"
+            total, many = f"(sum({kind}) OVER c)::DOUBLE", f"(count(*) FILTER ({kind} > 0) OVER c)::DOUBLE"
+            shares.append(
+                f"CASE WHEN {total} > 0 THEN ({kind}::DOUBLE + {many} * {lower}) / ({total} + {many}) ELSE {lower} END AS {kind}_chance"
+            )
+        source = f"g{k}" if k == 1 else f"(SELECT g{k}.*, allow_chance, block_chance FROM g{k} JOIN p{k - 1} ON substr(g{k}.gram, 2) = p{k - 1}.gram)"
+        levels.append(
+            f"p{k} AS (SELECT gram, {', '.join(shares)} FROM {source} WINDOW c AS (PARTITION BY substr(gram, 1, {k - 1})))"
+        )
+    rules = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    return f"""
+    WITH parts AS (
+        SELECT row_number() OVER () AS row, page_id, coalesce(url, '') AS url,
+               translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM pages
+    ),
+    rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+    best AS (
+        SELECT row, max_by(struct_pack(rule := rule_host || rule_path, verdict := rule_verdict), length(rule_host || rule_path)) AS r
+        FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY row
+    ),
+    u AS (
+        SELECT parts.*, r.rule AS rule, r.verdict AS ruled, ('0x' || substr(md5(url), 1, 8))::BIGINT % 5 = 0 AS held
+        FROM parts LEFT JOIN best USING (row)
+    ),
+    spots AS (
+        SELECT row, url, CASE WHEN NOT held THEN ruled END AS example, unnest(range(1, length(url) + 2)) AS i FROM u
+    ),
+    {", ".join(levels)},
+    model AS (SELECT gram, round((ln(allow_chance) - ln(block_chance)) / 1e-6)::BIGINT AS weight FROM p{order + 1}),
+    scored AS (
+        SELECT row, floor(sum(weight)::DOUBLE / count(*))::BIGINT AS mean
+        FROM spots JOIN model ON substr(repeat(chr(2), {order}) || url || chr(3), i, {order + 1}) = gram GROUP BY row
+    ),
+    bins AS (
+        SELECT floor(mean / 1000.0)::BIGINT AS bin, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b
+        FROM u JOIN scored USING (row) WHERE held AND ruled IS NOT NULL GROUP BY 1
+    ),
+    gains AS (
+        SELECT floor((coalesce(lead(bin) OVER up + 1, bin) + bin) * 1000 / 2.0)::BIGINT AS cut,
+               sum(a) OVER up * (SELECT sum(b) FROM bins) - sum(b) OVER up * (SELECT sum(a) FROM bins) AS gain
+        FROM bins WINDOW up AS (ORDER BY bin DESC)
+    ),
+    cut AS (
+        SELECT CASE WHEN (SELECT least(sum(a), sum(b)) FROM bins) > 0
+                    THEN (SELECT cut FROM gains ORDER BY gain DESC, abs(cut), cut DESC LIMIT 1) ELSE 0 END AS threshold
+    )
+    SELECT page_id, host, path, rule,
+           coalesce(ruled, CASE WHEN mean >= threshold THEN 'allow' ELSE 'block' END) AS verdict,
+           mean AS score, threshold::BIGINT AS threshold
+    FROM u JOIN scored USING (row), cut
+    """
+
+
+@query("op12_url_filter", _url_sql(ORDER))
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
