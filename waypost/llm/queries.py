@@ -18,6 +18,7 @@ from waypost.llm.packing import pack_documents
 from waypost.llm.passages import repeated_passages
 from waypost.llm.pii import BASE, find_spans, listed, of_kinds
 from waypost.llm.quality import fit, score
+from waypost.llm.spelling import MISSPELT, count_words, spelling_variants
 from waypost.llm.token_counts import token_counts
 from waypost.llm.url_filter import ORDER, judge_urls
 from waypost.workspace import fresh_path
@@ -261,3 +262,64 @@ def _url_sql(order: int) -> str:
 @query("op12_url_filter", _url_sql(ORDER))
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query(
+    "op13_spelling_variants",
+    r"""
+    WITH RECURSIVE steps AS (
+        SELECT list_transform(range(256), lambda x: list_reduce(
+            list_prepend(x, [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+    ),
+    runs AS (
+        SELECT doc_id, run, count(*) AS n FROM (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+            FROM documents
+        ) WHERE length(run) >= 7 GROUP BY ALL
+    ),
+    hashed AS (
+        SELECT run, n, xor(4294967295, list_reduce(
+            list_prepend(4294967295, flatten(list_transform(
+                string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT] ELSE [195, unicode(s)::BIGINT - 64] END))),
+            lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) AS h
+        FROM runs, steps
+    ),
+    spelt AS (
+        SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM hashed
+    ),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    cut AS (
+        SELECT word, n, i, left(word, i) AS a, substr(word, i + 2) AS b
+        FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+    ),
+    near AS (
+        SELECT x.word, y.word AS other, y.n AS other_n FROM cut AS x JOIN cut AS y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+        UNION
+        SELECT x.word, y.word, y.n FROM cut AS x JOIN words AS y ON y.word = x.a || x.b
+        UNION
+        SELECT y.word, x.word, x.n FROM cut AS x JOIN words AS y ON y.word = x.a || x.b
+    ),
+    best AS (
+        SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n
+        FROM near GROUP BY word
+    ),
+    formed AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+               CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+        FROM words LEFT JOIN best USING (word)
+    ),
+    chain AS (
+        SELECT word, form AS last FROM formed WHERE form IS NOT NULL
+        UNION ALL
+        SELECT c.word, f.form FROM chain AS c JOIN formed AS f ON f.word = c.last WHERE f.form IS NOT NULL
+    ),
+    ends AS (SELECT c.word, c.last FROM chain AS c JOIN formed AS f ON f.word = c.last WHERE f.form IS NULL)
+    SELECT word, form, coalesce(last, word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends USING (word)
+    """,
+)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(count_words(table(spark, sf_dir, "documents"), one_in=MISSPELT))
