@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from waypost.llm.components import components
 from waypost.llm.shingles import mix, shingle_set
-from waypost.workspace import settle
+from waypost.workspace import release, settle
 
 #: Keys in a block, and in a map task's memory before they are sent.
 BLOCK_KEYS = 1_000_000
@@ -43,6 +43,12 @@ BLOCK_KEYS = 1_000_000
 #: N-grams of the rows in a tile of a family, and of the small families in a task.
 TILE_GRAMS = 500_000
 
+#: Words of 64 bits in the bitmap of member ids that is broadcast.
+FILTER_WORDS = 1 << 18
+
+#: Most classes of equal sets whose results are broadcast.
+HOT_CLASSES = 10_000
+
 #: Keys for each byte of text, about; only sizes the blocks.
 KEYS_PER_BYTE = 0.06
 
@@ -293,6 +299,23 @@ def _multiplying(share: tuple[int, int]):
     return multiply
 
 
+def _likely(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows whose ``id`` may be a member's: a bitmap of hashed member ids is broadcast.
+
+    ``FILTER_WORDS`` bounds the bitmap. No member is lost; how few others pass depends on
+    how many members there are.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS * 64).cast("bigint"))
+    bit = F.expr("shiftleft(1L, cast(_slot % 64 AS int))")
+
+    def slotted(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("_slot", slot).withColumns({"_word": F.shiftright("_slot", 6), "_bit": bit})
+
+    words = slotted(members.select("id")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    held = slotted(rows).join(F.broadcast(settle(words, "member-bits")), "_word")
+    return held.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -326,7 +349,9 @@ def jaccard_components(
     classes = settle(
         rows.filter("n_shingles > 0")
         .groupBy("cls", "chk")
-        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("shared").alias("shared")),
+        .agg(
+            F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("shared").alias("shared"), F.count("*").alias("many")
+        ),
         "set-classes",
     )
     # No less than the keys a class shares: those of its links, to it and from it.
@@ -339,6 +364,7 @@ def jaccard_components(
     near = links.join(enough, "cls", "left_semi")
     through = near.select(F.col("pivot").alias("cls")).union(enough).distinct()
     families = settle(components(links.join(through, "cls", "left_semi").select("cls", "pivot")), "families")
+    release(links)
 
     # Different sets with one 64-bit print are a family too.
     shared = classes.groupBy("cls").count().filter("count > 1").select("cls")
@@ -347,7 +373,11 @@ def jaccard_components(
     )
     stay = enough.union(shared).distinct()
     members = settle(classes.join(family, "cls").join(stay, "cls", "left_semi"), "family-members")
-    sets = settle(source.join(members, "id").mapInArrow(_gathering(n), _SETS), "sets")
+    release(families)
+    release(enough)
+    # Texts are shuffled for members only, and the few that the bitmap takes for members.
+    sets = settle(_likely(source, members).join(members, "id").mapInArrow(_gathering(n), _SETS), "sets")
+    release(members)
     # Written, so that the join's hot families can be split.
     tiles = settle(
         sets.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(TILE_GRAMS)).cast("int").alias("tiles")), "tiles"
@@ -367,12 +397,25 @@ def jaccard_components(
     )
     links = dealt.groupBy("task", "cut", "i", "j").applyInArrow(_multiplying(share), "u long, v long")
     roots = settle(components(links), "roots")
+    release(sets)
+    release(tiles)
     found = classes.join(roots.toDF("id", "root"), "id", "left").select(
-        "cls", "chk", F.coalesce("root", "id").alias("component_id")
+        "cls", "chk", "many", F.coalesce("root", "id").alias("component_id")
     )
+    found = settle(found, "class-components")
+    release(classes)
+    release(roots)
+    # Classes of many rows are few and broadcast; the rows of others are shuffled to meet theirs.
+    n_rows = found.agg(F.sum("many")).first()[0] or 0
+    is_hot = F.col("many") > max(2, n_rows // HOT_CLASSES)
+    hot = found.filter(is_hot).select("cls", "chk", F.col("component_id").alias("hot"))
+    placed = rows.join(F.broadcast(hot), ["cls", "chk"], "left")
+    small = found.filter(~is_hot).drop("many")
+    cold = placed.filter("hot IS NULL").drop("hot").join(small, ["cls", "chk"], "left")
+    warm = placed.filter("hot IS NOT NULL").withColumnRenamed("hot", "component_id")
     nameless = named.filter("id IS NULL").mapInArrow(_sizing(n), "n_shingles long")
     return (
-        rows.join(found, ["cls", "chk"], "left")
+        cold.unionByName(warm)
         .select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
         .union(nameless.select(F.lit(None).cast("long"), "n_shingles", F.lit(None).cast("long")))
         .withColumnRenamed("id", id_col)
