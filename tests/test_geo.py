@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from waypost import bbox_cost, bbox_filter, bbox_validate, default_regions, haversine_km, nearest_within, tag_regions
+from waypost import bbox_cost, bbox_filter, bbox_validate, default_regions, haversine_km, nearest_k, nearest_within, tag_regions
 from waypost.schemas import REGIONS
 
 
@@ -115,3 +115,69 @@ def test_regions_cover_edges_and_positionless_vectors(spark):
     }
     assert {r.id for r in bbox_filter(vectors, 50, 3, 53.5, 7.5).collect()} == {1, 3, 4}
     assert bbox_filter(vectors, 0, 0, 0, 0).count() == 5
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_boxes_of_every_size(spark, strategy):
+    rng = random.Random(2)
+    def box(size):
+        lat, lon = rng.uniform(-90, 90 - min(size, 179)), rng.uniform(-180, 180 - min(size, 359))
+        return lat, lon, min(90, lat + size * rng.random()), min(180, lon + size)
+    rows = [(f"b{i}", box(10 ** rng.uniform(-4, 2.5))) for i in range(300)]
+    rows += [("point", (10, 10, 10, 10)), ("world", (-90, -180, 90, 180)), ("tile", (0, 0, 22.5, 22.5)), ("globe", (0, 0, 0, 0))]
+    spots = [(0.0, 0.0), (22.5, 22.5), (90.0, 180.0), (-90.0, -180.0), (10.0, 10.0), (None, 1.0)]
+    spots += [(rng.uniform(b[0], b[2]), rng.uniform(b[1], b[3])) for _, b in rows[:200]]
+    vectors = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)], "id int, latitude double, longitude double")
+    got = {(r.id, r.region) for r in tag_regions(vectors, boxes(spark, *rows), strategy=strategy).collect()}
+    assert got == {
+        (i, n)
+        for i, (lat, lon) in enumerate(spots)
+        for n, b in rows
+        if lat is None or n == "globe" or (b[0] <= lat <= b[2] and b[1] <= lon <= b[3])
+    }
+
+
+def test_many_small_boxes_give_few_candidates(spark):
+    """100,000 boxes of a quarter degree and one world-wide box."""
+    from waypost.operators.boxes import _tile
+
+    small = spark.range(100_000).selectExpr(
+        "cast(id as string) AS name", "(id % 1000) * 0.17 - 85 AS lat_min", "floor(id / 1000) * 3.5 - 178 AS lon_min"
+    ).selectExpr("*", "lat_min + 0.25 AS lat_max", "lon_min + 0.25 AS lon_max")
+    vectors = spark.range(500).selectExpr("id", "id * 0.3 - 80 AS latitude", "id * 0.7 - 177 AS longitude")
+    regions = small.unionByName(boxes(spark, ("world", (-90, -180, 90, 180))))
+    out = tag_regions(vectors, regions)
+    assert out.where("region = 'world'").count() == 500
+    level = 10  # tiles of 0.35 degrees
+    lists = regions.where("name <> 'world'").select(
+        F.explode(F.array_distinct(F.array(*[_tile(F.lit(level), F.col(a), F.col(b)) for a in ("lat_min", "lat_max") for b in ("lon_min", "lon_max")]))).alias("tile")
+    ).groupBy("tile").count()
+    assert lists.agg(F.max("count")).first()[0] <= 5
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize(("centre", "k", "reach"), [((0.0, 180.0), 3, 12.0), ((89.9, 10.0), 2, None), (None, 3, None), (None, 4, 3000.0)])
+def test_k_nearest_equal_brute_force(spark, monkeypatch, small, centre, k, reach):
+    if not small:
+        monkeypatch.setattr("waypost.operators.nearest.fits_broadcast", lambda *_: False)
+    rng = random.Random(str((centre, k)))
+    left, right = points(rng, 60, centre), points(rng, 40, centre)
+    right += right[:3]  # copies of a location
+    lf = spark.createDataFrame([(i, *p) for i, p in enumerate(left)] + [(999, None, 1.0)], "id int, la double, lo double")
+    rf = spark.createDataFrame([(f"p{i:03d}", *p) for i, p in enumerate(right)] + [("none", None, None)], "code string, la double, lo double")
+    got = nearest_k(lf, rf, ("la", "lo"), ("la", "lo"), "code", {"code": "c"}, ["id"], k=k, km=reach, cell_rows=7).collect()
+    assert len(got) == len({(r.id, r.rank) for r in got})
+    found = {(r.id, r.rank): r.c for r in got}
+    want = {}
+    for i, p in enumerate(left):
+        near = sorted((round(km(*p, *q), 6), f"p{j:03d}") for j, q in enumerate(right))
+        want |= {(i, n): c for n, (d, c) in enumerate(near[:k], 1) if reach is None or d <= reach}
+    assert found == want
+
+
+def test_k_nearest_of_few_or_none(spark):
+    lf = spark.createDataFrame([(1, 0.0, 0.0)], "id int, la double, lo double")
+    rf = spark.createDataFrame([("a", 0.0, 179.0), ("b", 1.0, 1.0)], "code string, la double, lo double")
+    ask = lambda right: nearest_k(lf, right, ("la", "lo"), ("la", "lo"), "code", {"code": "c"}, ["id"], k=5).collect()
+    assert {(r.rank, r.c) for r in ask(rf)} == {(1, "b"), (2, "a")}
+    assert ask(rf.where("false")) == []

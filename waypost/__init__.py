@@ -3,7 +3,7 @@
 from waypost.functions.geo import haversine_km
 from waypost.operators.boxes import bbox_cost, bbox_filter, bbox_validate, default_regions, tag_regions
 from waypost.operators.dedup import dedup_latest, latest_per_key
-from waypost.operators.nearest import nearest_within
+from waypost.operators.nearest import nearest_k, nearest_within
 from waypost.operators.ranks import percentile_by_index
 from waypost.operators.scans import ewma, running_total, sessionize
 from waypost.operators.validation import field_drift, ratio_verdict, split_valid, validate
@@ -23,7 +23,7 @@ __all__ = [
     "MODEL_CHECKS", "Check", "Params", "bbox_cost", "bbox_filter", "bbox_validate",
     "decode_vectors", "dedup_latest", "default_regions", "ewma", "field_drift", "flight_list",
     "flight_sessions", "flights", "haversine_km", "hourly_traffic", "latest_per_key", "live",
-    "nearest_within", "partition_stats", "percentile_by_index", "profile", "quota_ledger",
+    "nearest_k", "nearest_within", "partition_stats", "percentile_by_index", "profile", "quota_ledger",
     "ratio_verdict", "read_airports", "read_bronze", "read_ndjson", "read_polls", "region_yield",
     "run_checks", "running_total", "sessionize", "split_valid", "state_vectors", "stats",
     "stream_kafka", "stream_ndjson", "tag_regions", "time_shift", "to_records", "track",

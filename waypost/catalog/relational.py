@@ -10,7 +10,7 @@ from waypost.catalog.records import rec_sql, vec_sql
 from waypost.catalog.registry import query
 from waypost.operators.boxes import bbox_cost, tag_regions
 from waypost.operators.dedup import dedup_latest, latest_per_key
-from waypost.operators.nearest import nearest_within
+from waypost.operators.nearest import nearest_k, nearest_within
 from waypost.operators.ranks import percentile_by_index
 from waypost.operators.scans import ewma, sessionize
 from waypost.plans import profile as profiles
@@ -72,6 +72,40 @@ def join_nearest_shuffled(spark, sf):
     return _nearest(spark, sf, "shuffle")
 
 
+def _nearest_k_sql(k: int, within: str) -> str:
+    return S.with_sql(
+        f"""SELECT event_id, pos, icao, km, rank FROM (
+              SELECT p.event_id, p.pos, f.icao, round({_KM}, 6) AS km, row_number() OVER (
+                PARTITION BY p.event_id, p.pos ORDER BY round({_KM}, 6), f.icao) AS rank
+              FROM vec p JOIN fields f ON {within}) WHERE rank <= {k}""",
+        VEC, S.AIRPORT_SQL,
+    )
+
+
+def _nearest_k(spark, sf, k, km):
+    return nearest_k(
+        S.vectors(spark, sf).select("event_id", "pos", "latitude", "longitude"),
+        S.airports(spark, sf),
+        ("latitude", "longitude"),
+        ("latitude", "longitude"),
+        right_key="icao",
+        take={"icao": "icao"},
+        left_key=["event_id", "pos"],
+        k=k,
+        km=km,
+    )
+
+
+@query("join_nearest_three", _nearest_k_sql(3, f"round({_KM}, 6) <= 60"))
+def join_nearest_three(spark, sf):
+    return _nearest_k(spark, sf, 3, 60.0)
+
+
+@query("join_nearest_any_distance", _nearest_k_sql(2, "p.latitude IS NOT NULL AND p.longitude IS NOT NULL"))
+def join_nearest_any_distance(spark, sf):
+    return _nearest_k(spark, sf, 2, None)
+
+
 @query(
     "join_left_enrich",
     session_sql(

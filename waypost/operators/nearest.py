@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waypost.functions.geo import band_height, cell_of, cells_within, haversine_km
 from waypost.params import EARTH_RADIUS_KM, MATCH_RADIUS_KM
-from waypost.workspace import fits_broadcast, settle
+from waypost.workspace import fits_broadcast, release, settle
 
 #: Left rows that one task looks up in a cell; a cell with more is dealt over several.
 CELL_ROWS = 100_000
@@ -23,6 +24,27 @@ def pick_strategy(right: DataFrame) -> str:
     return "broadcast" if fits_broadcast(right) else "shuffle"
 
 
+def _dealt(placed: DataFrame, points: DataFrame, left_key: Sequence[str], cell_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: cells with too many left rows over several tasks, points copied to each."""
+    heat = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    # No more than HOT_CELLS cells can each hold more than that share of all rows.
+    share = heat.agg(F.greatest(F.ceil(F.sum("_rows") / HOT_CELLS), F.lit(cell_rows))).scalar()
+    hot = heat.where(F.col("_rows") > share).select("_cell", F.ceil(F.col("_rows") / share).alias("_salts"))
+    hot = F.broadcast(settle(hot, "hot-cells"))
+    n_salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    salted = (
+        placed.join(hot, "_cell", "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*left_key), n_salts))
+        .drop("_salts")
+    )
+    spread = (
+        points.join(hot, "_cell", "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts - 1)))
+        .drop("_salts")
+    )
+    return salted, spread
+
+
 def nearest_within(
     left: DataFrame,
     right: DataFrame,
@@ -97,22 +119,7 @@ def nearest_within(
         F.col(left_point[1]).alias("_left_lon"),
         "_cell",
     )
-    heat = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
-    # No more than HOT_CELLS cells can each hold more than that share of all rows.
-    share = heat.agg(F.greatest(F.ceil(F.sum("_rows") / HOT_CELLS), F.lit(cell_rows))).scalar()
-    hot = heat.where(F.col("_rows") > share).select("_cell", F.ceil(F.col("_rows") / share).alias("_salts"))
-    hot = F.broadcast(settle(hot, "hot-cells"))
-    n_salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
-    salted = (
-        placed.join(hot, "_cell", "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*left_key), n_salts))
-        .drop("_salts")
-    )
-    spread = (
-        points.join(hot, "_cell", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts - 1)))
-        .drop("_salts")
-    )
+    salted, spread = _dealt(placed, points, left_key, cell_rows)
     best = (
         salted.join(spread, ["_cell", "_salt"])
         .withColumn("_km", F.round(haversine_km("_left_lat", "_left_lon", "_lat", "_lon", radius_km), 6))
@@ -123,3 +130,89 @@ def nearest_within(
     return left.join(best, list(left_key), "left").select(
         *left.columns, *[F.col(f"_best.{c}").alias(a) for c, a in out.items()]
     )
+
+
+#: Rings grow by this factor where too few points are found.
+RING = 4.0
+
+
+def _within(rows: DataFrame, points: DataFrame, left_key: Sequence[str], km: float, radius_km: float, cell_rows: int) -> DataFrame:
+    """Rows (``left_key``, ``_left_lat``, ``_left_lon``) with each point no further than ``km``."""
+    height = band_height(km, radius_km)
+    listed = points.withColumn("_cell", F.explode(cells_within("_lat", "_lon", km, height, radius_km)))
+    here = rows.withColumn("_cell", cell_of("_left_lat", "_left_lon", height))
+    if fits_broadcast(listed):
+        met = here.join(F.broadcast(listed), "_cell")
+    else:
+        salted, spread = _dealt(here, listed, left_key, cell_rows)
+        met = salted.join(spread, ["_cell", "_salt"])
+    away = F.round(haversine_km("_left_lat", "_left_lon", "_lat", "_lon", radius_km), 6)
+    return met.withColumn("_km", away).where(F.col("_km") <= km)
+
+
+def nearest_k(
+    left: DataFrame,
+    right: DataFrame,
+    left_point: tuple[str, str],
+    right_point: tuple[str, str],
+    right_key: str,
+    take: dict[str, str],
+    left_key: Sequence[str],
+    k: int,
+    km: float | None = None,
+    rank: str = "rank",
+    distance: str = "km",
+    first_km: float = MATCH_RADIUS_KM,
+    radius_km: float = EARTH_RADIUS_KM,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """The ``k`` nearest right rows of each left row, no further than ``km`` if that is given.
+
+    A row per match: ``left_key``, what ``take`` maps, ``rank`` from 1 and ``distance``.
+    Distances compare at millimetre resolution, equal ones fall to the smaller
+    ``right_key``, which identifies a right row as ``left_key`` does a left one. Rows
+    without a position, and left rows without a match, are in no row.
+
+    Candidates come from the grid as in ``nearest_within``; a task passes on no more than
+    ``k`` of a left row to the shuffle. Without ``km`` the search starts at ``first_km``,
+    and left rows with fewer than ``k`` matches go on with a ring ``RING`` times as wide,
+    until it spans the sphere. Each round sees only the rows that are still open.
+    """
+    keys = list(left_key)
+    points = settle(
+        right.where(F.col(right_point[0]).isNotNull() & F.col(right_point[1]).isNotNull())
+        .select(F.col(right_point[0]).alias("_lat"), F.col(right_point[1]).alias("_lon"), F.struct(right_key, *[c for c in take if c != right_key]).alias("_right")),
+        "points",
+    )
+    open_ = left.where(F.col(left_point[0]).isNotNull() & F.col(left_point[1]).isNotNull()).select(
+        *keys, F.col(left_point[0]).alias("_left_lat"), F.col(left_point[1]).alias("_left_lon")
+    )
+    by_distance = Window.partitionBy(*keys).orderBy("_km", f"_right.{right_key}")
+
+    def found(rows: DataFrame, reach: float) -> DataFrame:
+        met = _within(rows, points, keys, reach, radius_km, cell_rows)
+        return met.withColumn("_rank", F.row_number().over(by_distance)).where(F.col("_rank") <= k)
+
+    if km is not None:
+        done = found(open_, km)
+    else:
+        wanted = min(k, points.count())
+        span, reach, done = math.pi * radius_km, first_km, None
+        open_ = settle(open_, "open")
+        while True:
+            last = reach >= span
+            matched = settle(found(open_, reach), "matched")
+            full = matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= wanted).select(*keys)
+            part = matched if last else matched.join(full, keys, "left_semi")
+            done = part if done is None else done.unionByName(part)
+            if last or not wanted:
+                break
+            rest = settle(open_.join(full, keys, "left_anti"), "open")
+            release(open_)
+            open_ = rest
+            if open_.isEmpty():
+                break
+            reach *= RING
+    return done.select(
+        *keys, *[F.col(f"_right.{c}").alias(a) for c, a in take.items()], F.col("_rank").alias(rank), F.col("_km").alias(distance)
+    )
