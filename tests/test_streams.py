@@ -4,13 +4,14 @@ import pytest
 
 from rows import BASE, T0, at, bronze
 from test_records import RECORD
-from waypost import Params, flight_sessions, schemas, state_vectors, stream_ndjson
+from waypost import Params, flight_sessions, flights, hourly_traffic, schemas, state_vectors, stream_ndjson
 from waypost.plans.serving import latest_positions
 from waypost.sinks.tables import write_bronze_table
 from waypost.streaming import ingest
 from waypost.streaming.ingest import IngestPaths, await_bronze, start_bronze
 from waypost.streaming.live import read_live, start_live
-from waypost.streaming.sessions import read_sessions, start_sessions
+from waypost.streaming.marts import read_flights, read_traffic, rebuild_flights, rebuild_traffic
+from waypost.streaming.sessions import number_batch, published, read_sessions, start_sessions
 from waypost.streaming.silver import drop_superseded, merge_latest, read_latest, start_silver, stream_bronze
 
 
@@ -100,20 +101,37 @@ def test_silver_merge_equals_batch_and_repeats_safely(spark, tmp_path):
         (r.observed_at, r.callsign, r.source_row_count) for r in state_vectors(first.unionByName(second)).collect()
     }
     got = {(r.observed_at, r.callsign, r.source_row_count) for r in read_latest(spark, path).collect()}
-    hour = tmp_path / "silver" / "hours" / "date=2024-01-01" / "hour=00"
-    assert len(list(hour.glob("batch=*"))) == 2
-    drop_superseded(spark, path)
-    assert [p.name for p in hour.glob("batch=*")] == ["batch=1"]
     assert read_latest(spark, path).count() == len(got)
     assert got == expected and (at(0).timestamp(), "B", 3) in {(o.timestamp(), c, n) for o, c, n in got}
 
 
-def test_a_late_row_costs_its_hour_not_its_day(spark, tmp_path):
+def test_what_is_written_follows_the_batch(spark, tmp_path):
     path = str(tmp_path / "silver")
     merge_latest(bronze(spark, *[{"t": 60 * m} for m in range(24 * 60)]), path, 0)
     merge_latest(bronze(spark, {"t": 7230, "ingested_at": at(99_000)}), path, 1)
-    rewritten = spark.read.parquet(path + "/hours").where("batch = 1")
-    assert rewritten.count() == 61 and read_latest(spark, path).count() == 24 * 60 + 1
+    written = spark.read.parquet(path + "/hours").where("batch = 1")
+    assert written.count() == 1 and read_latest(spark, path).count() == 24 * 60 + 1
+
+
+def test_an_hour_of_many_batches_becomes_a_snapshot(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("waypost.streaming.silver.DELTAS", 2)
+    monkeypatch.setattr("waypost.streaming.runs.MERGE_EVERY", 3)
+    path, every = str(tmp_path / "silver"), []
+    for n in range(8):
+        batch = [{"t": 7, "ingested_at": at(n % 3)}, {"t": 60 * n, "icao24": "b"}, {"t": 4000 if n % 4 == 0 else 8}]
+        every += batch
+        for _ in range(1 + n % 2):  # some batches are retried
+            merge_latest(bronze(spark, *batch), path, n)
+        merged, whole = read_latest(spark, path), state_vectors(bronze(spark, *every))
+        assert merged.exceptAll(whole.select(*merged.columns)).isEmpty() and merged.count() == whole.count()
+    hour = tmp_path / "silver" / "hours" / "date=2024-01-01" / "hour=00"
+    assert len(list(hour.glob("batch=*"))) == 8
+    drop_superseded(spark, path)
+    assert sorted(p.name for p in hour.glob("batch=*")) == ["batch=6", "batch=7"]
+    assert read_latest(spark, path).exceptAll(merged).isEmpty() and read_latest(spark, path).count() == whole.count()
+    assert sorted(p.name for p in (tmp_path / "silver" / "manifest").glob("run=*")) == [
+        "run=0-2", "run=0-5", "run=3-3", "run=4-4", "run=5-5", "run=6-6", "run=7-7",
+    ]
 
 
 def test_a_fix_that_aged_between_its_copies_is_not_live(spark, tmp_path):
@@ -127,13 +145,17 @@ def test_a_fix_that_aged_between_its_copies_is_not_live(spark, tmp_path):
         assert read_live(spark, str(root / "l"), at(70)).isEmpty()
 
 
-def test_live_keeps_no_more_than_it_may_show(spark, tmp_path):
+def test_live_keeps_no_more_than_it_may_show(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("waypost.streaming.runs.MERGE_EVERY", 4)
     for n in range(5):
         write_bronze_table(bronze(spark, {"t": 1000 * n, "icao24": f"a{n}"}), str(tmp_path / "b"))
-        start_live(stream_bronze(spark, str(tmp_path / "b")), str(tmp_path / "l"), str(tmp_path / "c")).awaitTermination()
-    kept = sorted(p.name for p in (tmp_path / "l").glob("batch=*"))
-    assert kept == ["batch=3", "batch=4"]
-    assert spark.read.parquet(str(tmp_path / "l" / "batch=4")).count() == 1
+        job = start_live(stream_bronze(spark, str(tmp_path / "b")), str(tmp_path / "l"), str(tmp_path / "c"))
+        job.awaitTermination()
+    state = job.recentProgress[-1]["stateOperators"][0]
+    assert state["numRowsTotal"] <= 2 and any("rocksdb" in name for name in state["customMetrics"])
+    merged = [p for p in (tmp_path / "l").glob("run=*") if len(set(p.name[4:].split("-"))) > 1]
+    assert merged and all(spark.read.parquet(str(p)).count() == 1 for p in merged)
+    assert [r.icao24 for r in read_live(spark, str(tmp_path / "l"), at(4000)).collect()] == ["a4"]
 
 
 def test_silver_and_live_streams(spark, tmp_path):
@@ -178,16 +200,71 @@ def test_sessions_equal_the_batch_in_any_order(spark, tmp_path):
     assert not (root / "out" / "late").exists()
 
 
-def test_state_survives_its_compaction(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("waypost.streaming.sessions.COMPACT_EVERY", 2)
-    every = []
-    for n in range(7):
-        every.append({"t": 600 * n, "icao24": "ab"[n % 2]})
-        write_bronze_table(bronze(spark, every[-1]), str(tmp_path / "b"))
-        start_sessions(stream_bronze(spark, str(tmp_path / "b")), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
-    streamed, batch = read_sessions(spark, str(tmp_path / "o")), flight_sessions(state_vectors(bronze(spark, *every)))
-    assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
-    assert sorted(p.name for p in (tmp_path / "o" / "state").glob("batch=*")) == ["batch=4", "batch=5", "batch=6"]
+def test_sessions_survive_merges_and_retries(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("waypost.streaming.runs.MERGE_EVERY", 2)
+    path, every = str(tmp_path / "o"), []
+    for n in range(5):
+        batch = [{"t": 600 * n, "icao24": "ab"[n % 2]}]
+        batch += [{"t": 600, "icao24": "b", "latitude": None, "ingested_at": at(9999)}] if n == 2 else []
+        batch += [{"t": 300, "icao24": "a"}] if n == 3 else []
+        every += batch
+        for _ in range(2 if n == 3 else 1):  # retried with its merge
+            number_batch(bronze(spark, *batch), path, n)
+    streamed, whole = read_sessions(spark, path), flight_sessions(state_vectors(bronze(spark, *every)))
+    assert streamed.exceptAll(whole).isEmpty() and whole.exceptAll(streamed).isEmpty()
+    assert sorted(p.name for p in (tmp_path / "o" / "sessions").glob("run=*")) == [
+        "run=0-1", "run=2-2", "run=2-3", "run=3-3", "run=4-4",
+    ]
+
+
+def test_a_batch_reads_its_hours_and_its_late_aircraft_only(spark, tmp_path):
+    """All other files are broken, so that a batch that opened one would fail."""
+    path = str(tmp_path / "o")
+    names = [f"a{n}" for n in range(40)]
+    number_batch(bronze(spark, *[{"t": t, "icao24": k} for t in (0, 90_000, 180_000) for k in names]), path, 0)
+    seen = {r.icao24: r.bucket for r in published(spark, path).select("icao24", "bucket").distinct().collect()}
+    for file in (tmp_path / "o" / "silver" / "hours").rglob("*.parquet"):
+        if "date=2024-01-03" not in str(file):
+            file.write_bytes(b"broken")
+    for file in (tmp_path / "o" / "sessions").rglob("*.parquet"):
+        if f"bucket={seen['a7']}/" not in str(file):
+            file.write_bytes(b"broken")
+    number_batch(bronze(spark, {"t": 181_000, "icao24": "new"}, {"t": 180_100, "icao24": "a3"}), path, 1)
+    number_batch(bronze(spark, {"t": 179_990, "icao24": "a7"}), path, 2)
+    rows = published(spark, path, of=spark.createDataFrame([("a7",)], "icao24 string")).orderBy("observed_at").collect()
+    assert [(r.observation_seq, r.session_seq) for r in rows] == [(1, 1), (2, 2), (3, 3), (4, 3)]
+
+
+def test_marts_follow_late_rows_and_touch_nothing_else(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("waypost.streaming.runs.MERGE_EVERY", 3)
+    path, every, params = str(tmp_path / "o"), [], Params(min_flight_observations=1)
+    airports = spark.createDataFrame([("EHAM", "AMS", "A", "N", 50.0, 4.0, 1)], schemas.AIRPORTS)
+    batches = [
+        [{"t": t, "icao24": k} for k in ("a", "b") for t in (0, 10, 5000, 5010, 9000, 90_000)],
+        [{"t": 20, "icao24": "a"}, {"t": 9010, "icao24": "a"}],  # late for a
+        [{"t": 2500, "icao24": "b"}, {"t": 1300, "icao24": "b"}, {"t": 3700, "icao24": "b"}],  # joins two flights of b
+        [{"t": 90_000, "icao24": "a", "latitude": None, "ingested_at": at(99_999)}],  # an hour and a flight less
+    ]
+    for n, batch in enumerate(batches):
+        every += batch
+        before = {p: p.stat().st_mtime_ns for p in (tmp_path / "o").glob("traffic/*/*/*.parquet")}
+        for _ in range(2 if n == 2 else 1):  # one is retried
+            arrived = bronze(spark, *batch)
+            changed = number_batch(arrived, path, n, params)
+            hours = arrived.selectExpr("to_date(observed_at) AS date", "hour(observed_at) AS hour").distinct()
+            rebuild_traffic(spark, path, hours, n, params)
+            rebuild_flights(spark, path, changed, airports, n, params)
+        touched = {at(0).replace(day=1 + r["t"] // 86_400, hour=r["t"] % 86_400 // 3600).strftime("date=%Y-%m-%d/hour=%H") for r in batch}
+        for file, changed_at in before.items():
+            hour = "/".join(file.parts[-3:-1])
+            assert (hour in touched) != (file.exists() and file.stat().st_mtime_ns == changed_at)
+    silver = state_vectors(bronze(spark, *every), params)
+    for got, want in (
+        (read_flights(spark, path), flights(flight_sessions(silver, params), airports, params)),
+        (read_traffic(spark, path), hourly_traffic(silver, params)),
+    ):
+        got = got.select(*want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
 def test_a_stream_cannot_look_ahead(spark, tmp_path):

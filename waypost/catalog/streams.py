@@ -8,13 +8,14 @@ from waypost import schemas
 from waypost.catalog import standin as S
 from waypost.catalog.records import _BRONZE_LIST, DAY, LATEST_SQL, rec_sql
 from waypost.catalog.registry import query
-from waypost.catalog.relational import _KEEP, silver_sql
+from waypost.catalog.relational import _KEEP, session_sql, silver_sql
 from waypost.plans.flights import SESSION_COLUMNS
 from waypost.sinks.tables import write_bronze_table
 from waypost.sources.records import stream_ndjson
 from waypost.sources.tables import read_bronze
 from waypost.streaming.ingest import IngestPaths, start_bronze
 from waypost.streaming.live import read_live, start_live
+from waypost.streaming.marts import read_flights, read_traffic, start_marts
 from waypost.streaming.sessions import read_sessions, start_sessions
 from waypost.streaming.silver import read_latest, start_silver, stream_bronze
 from waypost.workspace import fresh_path, settle
@@ -118,6 +119,30 @@ def str_sessions(spark, sf):
     return read_sessions(spark, f"{root}/out")
 
 
+def _marts(spark, sf) -> str:
+    """The history in three runs, out of order; the second and third are late in part."""
+    root = fresh_path(spark, "marts")
+    day = F.dayofmonth("observed_at")
+    part = F.when(day > 20, 0).when(day % 3 == 0, 1).otherwise(2)
+    parts = settle(S.bronze(spark, sf), "bronze").withColumn("part", part)
+    airports = settle(S.airports(spark, sf), "airports")
+    for n in range(3):
+        write_bronze_table(parts.where(F.col("part") == n), f"{root}/bronze")
+        arrived = stream_bronze(spark, f"{root}/bronze")
+        start_marts(arrived, airports, f"{root}/out", f"{root}/checkpoint", S.DAY_GAP).awaitTermination()
+    return f"{root}/out"
+
+
+@query("str_late_flights", session_sql("SELECT * FROM flights", S.flights_sql()))
+def str_late_flights(spark, sf):
+    return read_flights(spark, _marts(spark, sf))
+
+
+@query("str_late_traffic", silver_sql("SELECT * FROM traffic", S.TRAFFIC_SQL))
+def str_late_traffic(spark, sf):
+    return read_traffic(spark, _marts(spark, sf))
+
+
 @query(
     "str_live",
     S.with_sql(
