@@ -40,8 +40,9 @@ HEADLINE = (
     "q_region_yield",
     "join_nearest_shuffled",
     "agg_percentile",
+    "win_ewma",
 )
-RUNS = 2
+RUNS = 3
 
 
 def on_written_input(spark: SparkSession, sf_dir: str) -> dict:
