@@ -24,6 +24,9 @@ TABLE_CHARS = 4_000_000
 #: Bytes of texts that are looked up in one go.
 SLICE_BYTES = 8_000_000
 
+#: Words that are encoded in one call, as the library holds some 100 bytes for each of their pieces.
+CALL_WORDS = 20_000
+
 _WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 #: A space that white space precedes and white space or the end follows.
@@ -69,7 +72,14 @@ class WordTable:
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def encode_words(self, words: list[str], prefix: str) -> list[bytes]:
-        """Ids of each word; those that are not plain text go one by one."""
+        """Ids of each word, ``CALL_WORDS`` at a time."""
+        found: list[bytes] = []
+        for start in range(0, len(words), CALL_WORDS):
+            found += self._encode_words(words[start : start + CALL_WORDS], prefix)
+        return found
+
+    def _encode_words(self, words: list[str], prefix: str) -> list[bytes]:
+        """Those that are not plain text go one by one."""
         plain = [w for w in words if w and w.isprintable()]
         joined = self.mark.join([prefix + w for w in plain])
         ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
