@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -166,6 +168,39 @@ def test_materialize_swaps_when_written(spark, tmp_path):
         sinks.read_model(spark, "nothing", root)
 
 
+def test_two_rebuilds_at_a_time_write_two_versions(spark, tmp_path):
+    root = str(tmp_path / "models")
+    meet = threading.Barrier(2)
+
+    def rebuild(t):
+        rows = bronze(spark, *[{"t": t}] * 3)
+        meet.wait()
+        return sinks.materialize(rows, "raced", root=root)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(rebuild, (1, 2)))
+    folders = sorted(p.name for p in (tmp_path / "models" / "raced").glob("version=*"))
+    assert folders == ["version=0", "version=1"]
+    for folder in folders:
+        rows = spark.read.parquet(f"{root}/raced/{folder}")
+        assert rows.count() == 3 and rows.select("observed_at").distinct().count() == 1
+    # A number claimed by a writer that never came back is passed over.
+    (tmp_path / "models" / "raced" / "claims" / "version=2").touch()
+    assert sinks.materialize(bronze(spark, {"t": 9}), "raced", root=root).count() == 1
+    assert (tmp_path / "models" / "raced" / "version=3").exists()
+
+
+def test_a_view_follows_its_source_and_writes_nothing(spark, tmp_path):
+    root = str(tmp_path / "models")
+    view = sinks.materialize(bronze(spark, {"t": 1}, {"t": 2}), "as_view", root=root, how="view")
+    assert view.count() == 2 and spark.table("as_view").count() == 2
+    assert not (tmp_path / "models").exists()
+    sinks.materialize(bronze(spark, {"t": 1}), "as_view", root=root, how="view")
+    assert spark.table("as_view").count() == 1
+    with pytest.raises(ValueError):
+        sinks.materialize(view, "as_view", root=root, how="index")
+
+
 def test_checks_report_violations(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (9, "b"), (None, "c")], "n int, s string")
     rules = [

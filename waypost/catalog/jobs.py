@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from waypost import schemas
 from waypost.catalog import standin as S
-from waypost.catalog.records import DAY, LATEST_SQL, rec_sql
+from waypost.catalog.records import _BRONZE_LIST, DAY, LATEST_SQL, rec_sql
 from waypost.catalog.registry import query
 from waypost.catalog.relational import (
     _SILVER_LIST,
@@ -25,9 +26,11 @@ from waypost.plans import checks as C
 from waypost.plans import profile as profiles
 from waypost.plans import serving as Q
 from waypost.plans.flights import SESSION_COLUMNS, flight_sessions, flights
+from waypost.plans.partials import add_partials, hour_stats, observation_partials, read_partials
 from waypost.plans.regions import region_yield
 from waypost.plans.silver import state_vectors
-from waypost.sinks.tables import ingest_metrics, write_bronze, write_bronze_table
+from waypost.sinks.buckets import SLICE, write_bucketed
+from waypost.sinks.tables import ingest_metrics, write_bronze
 from waypost.sources.polls import decode_vectors
 from waypost.sources.tables import read_bronze
 from waypost.workspace import fresh_path, settle
@@ -125,6 +128,47 @@ def q_traffic_window(spark, sf):
     return Q.traffic_window(S.traffic(spark, sf), S.AS_OF)
 
 
+def _bucketed_bronze(spark, sf):
+    """Stand-in bronze as a bucketed table, and a name for further ones."""
+    slot = f"waypost_{uuid.uuid4().hex}"
+    return write_bucketed(S.bronze(spark, sf), f"{slot}_bronze", fresh_path(spark, "bronze-buckets")), slot
+
+
+def settle_bucketed(silver, slot):
+    return write_bucketed(silver, f"{slot}_silver", fresh_path(silver.sparkSession, "silver-buckets"))
+
+
+@query("snk_bronze_buckets", rec_sql("SELECT *, CAST(observed_at // 86400 AS BIGINT) AS time_slice FROM "
+                                     f"(SELECT {_BRONZE_LIST} FROM rec)"))
+def snk_bronze_buckets(spark, sf):
+    return _bucketed_bronze(spark, sf)[0].select(*schemas.BRONZE_COLUMNS, SLICE)
+
+
+@query("q_flight_sessions_bucketed", session_sql(f"SELECT {', '.join(SESSION_COLUMNS)} FROM sess"))
+def q_flight_sessions_bucketed(spark, sf):
+    """The same sessions over bucketed bronze and silver: after the first write only summaries are shuffled."""
+    bronze, slot = _bucketed_bronze(spark, sf)
+    silver = settle_bucketed(state_vectors(bronze, slice_col=SLICE), slot)
+    return flight_sessions(silver, S.DAY_GAP, SLICE)
+
+
+@query(
+    "q_hour_stats",
+    rec_sql(
+        """SELECT observed_at // 3600 * 3600 AS hour, count(*) AS rows, count(DISTINCT icao24) AS distinct_aircraft,
+             count(*) - count(DISTINCT icao24 || '@' || observed_at) AS duplicate_rows FROM rec GROUP BY 1"""
+    ),
+)
+def q_hour_stats(spark, sf):
+    """Every hour's statistics, from partial counts of two halves of bronze, whose copies overlap."""
+    bronze = S.bronze(spark, sf)
+    late = F.unix_seconds("ingested_at") - F.unix_seconds("poll_time") == 60
+    path = fresh_path(spark, "partials")
+    add_partials(bronze.where(late), path, 0)
+    add_partials(bronze.where(~late), path, 1)
+    return hour_stats(read_partials(spark, path))
+
+
 @query(
     "q_stats",
     session_sql(
@@ -140,14 +184,12 @@ def q_traffic_window(spark, sf):
     ),
 )
 def q_stats(spark, sf):
-    """From the written tables, as a reader of the lake finds them."""
-    root = fresh_path(spark, "lake")
-    write_bronze_table(S.bronze(spark, sf), f"{root}/table")
-    bronze = spark.read.schema(schemas.BRONZE).parquet(f"{root}/table")
+    """From bronze written once, its partial counts, and flights by way of bucketed tables."""
+    bronze, slot = _bucketed_bronze(spark, sf)
     batches = settle(ingest_metrics(validate(S.messages(spark, sf))), "metrics")
-    silver = settle(state_vectors(bronze.select(*schemas.BRONZE_COLUMNS)), "silver")
-    fact = flights(settle(flight_sessions(silver, S.DAY_GAP), "sessions"), S.airports(spark, sf), S.DAY_GAP)
-    return Q.stats(bronze, batches, settle(fact, "flights"))
+    silver = settle_bucketed(state_vectors(bronze, slice_col=SLICE), slot)
+    fact = flights(flight_sessions(silver, S.DAY_GAP, SLICE), S.airports(spark, sf), S.DAY_GAP)
+    return Q.stats_from_partials(settle(observation_partials(bronze), "partials"), batches, fact)
 
 
 HOUR = (dt.datetime(2024, 1, 10, 12), dt.datetime(2024, 1, 10, 13))

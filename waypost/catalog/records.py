@@ -190,6 +190,11 @@ def snk_materialize(spark, sf):
     return sinks.materialize(S.traffic(spark, sf), "hourly_traffic", ["traffic_hour", "region"])
 
 
+@query("snk_materialize_view", S.with_sql("SELECT * FROM traffic", VEC, REC, S.SILVER_SQL, S.TRAFFIC_SQL))
+def snk_materialize_view(spark, sf):
+    return sinks.materialize(S.traffic(spark, sf), "hourly_traffic_view", how="view")
+
+
 RETAIN_AS_OF = dt.datetime(2024, 2, 20, 5, 30, tzinfo=dt.timezone.utc)
 _CUTOFF = int(RETAIN_AS_OF.timestamp()) - 30 * 86_400
 

@@ -10,6 +10,7 @@ from waypost.catalog.records import _BRONZE_LIST, DAY, LATEST_SQL, rec_sql
 from waypost.catalog.registry import query
 from waypost.catalog.relational import _KEEP, session_sql, silver_sql
 from waypost.plans.flights import SESSION_COLUMNS
+from waypost.plans.partials import headline, read_partials
 from waypost.sinks.tables import write_bronze_table
 from waypost.sources.records import stream_ndjson
 from waypost.sources.tables import read_bronze
@@ -29,7 +30,7 @@ def _ingest(spark, sf, corrupt: bool, files: int, per_trigger: int | None) -> In
     S.messages(spark, sf, corrupt).select("value").repartition(files).write.text(landing)
     paths = IngestPaths(
         bronze=f"{root}/bronze", quarantine=f"{root}/quarantine", metrics=f"{root}/metrics",
-        checkpoint=f"{root}/checkpoint",
+        checkpoint=f"{root}/checkpoint", partials=f"{root}/partials",
     )
     source = stream_ndjson(spark, landing, per_trigger)
     # The stand-in breaks most messages on purpose.
@@ -65,6 +66,21 @@ def str_bounded(spark, sf):
     )
 
 
+@query(
+    "str_headline",
+    rec_sql(
+        f"""SELECT count(*) AS raw_rows, count(DISTINCT icao24 || '@' || observed_at) AS distinct_observations,
+              count(DISTINCT icao24) AS distinct_aircraft, max(observed_at) AS latest_observation,
+              string_agg(DISTINCT region, ',' ORDER BY region) AS regions
+            FROM rec WHERE {S.REASON_SQL} IS NULL"""
+    ),
+)
+def str_headline(spark, sf):
+    """From the counts that each of several batches left; copies meet across batches."""
+    paths = _ingest(spark, sf, True, 4, 1)
+    return headline(read_partials(spark, paths.partials))
+
+
 @query(
     "str_late",
     rec_sql(

@@ -37,6 +37,7 @@ def sessionize(
     boundary: str = "takeoff_row",
     chunk_s: int = DAY,
     carry: DataFrame | None = None,
+    slice_col: str | None = None,
 ) -> DataFrame:
     """Number the sessions of every key.
 
@@ -54,6 +55,10 @@ def sessionize(
 
     ``carry`` continues earlier work: one row per key with ``last_ts``,
     ``last_state``, ``last_seq`` and ``last_session``.
+
+    ``slice_col`` names a stored slice number, which grows with ``ts``, in place of the
+    one from ``chunk_s``. Over a table bucketed by key and that column (see
+    ``sinks.buckets``) only the summaries are shuffled.
     """
     if boundary not in ("takeoff_row", "last_ground_row"):
         raise ValueError(f"unknown boundary {boundary!r}")
@@ -93,7 +98,7 @@ def sessionize(
             ),
         )
 
-    sliced = df.withColumn("_slice", time_slice(ts, chunk_s))
+    sliced = df.withColumn("_slice", F.col(slice_col) if slice_col else time_slice(ts, chunk_s))
     narrow = sliced.select(*keys, ts, "_slice", *([state_col] if state_col else []))
     summary = (
         locally_flagged(narrow)

@@ -25,11 +25,11 @@ SESSION_COLUMNS = [
 ]
 
 
-def flight_sessions(silver: DataFrame, params: Params = Params()) -> DataFrame:
+def flight_sessions(silver: DataFrame, params: Params = Params(), slice_col: str | None = None) -> DataFrame:
     """Every observation with the flight it belongs to.
 
     Gaps are measured over all positioned rows, stale ones included. ``silver`` is
-    read twice; pass a written table.
+    read twice; pass a written table. ``slice_col`` is as in ``sessionize``.
     """
     numbered = sessionize(
         silver,
@@ -41,6 +41,7 @@ def flight_sessions(silver: DataFrame, params: Params = Params()) -> DataFrame:
         to_state=False,
         boundary=params.boundary,
         chunk_s=params.chunk_seconds,
+        slice_col=slice_col,
     )
     return numbered.withColumns(
         {

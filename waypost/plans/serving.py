@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waypost.functions.scalar import empty_to_null, safe_percent, to_knots
 from waypost.operators.dedup import latest_per_key
 from waypost.params import QUALITY_LEVELS
+from waypost.plans.partials import headline as partial_headline
 
 
 class NoTrack(LookupError):
@@ -129,6 +130,15 @@ def stats(bronze: DataFrame, ingest_batches: DataFrame, flights: DataFrame) -> D
         F.max("observed_at").alias("latest_observation"),
         F.sort_array(F.collect_set("region")).alias("regions"),
     )
+    return _with_totals(headline, ingest_batches, flights)
+
+
+def stats_from_partials(partials: DataFrame, ingest_batches: DataFrame, flights: DataFrame) -> DataFrame:
+    """``stats`` from the counts kept with each batch (``plans.partials``), without reading bronze."""
+    return _with_totals(partial_headline(partials), ingest_batches, flights)
+
+
+def _with_totals(headline: DataFrame, ingest_batches: DataFrame, flights: DataFrame) -> DataFrame:
     ingested = ingest_batches.agg(
         F.struct(
             F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows"),

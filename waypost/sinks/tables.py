@@ -14,7 +14,7 @@ from waypost import schemas
 from waypost.functions.scalar import partition_date, partition_hour
 from waypost.params import BRONZE_RETENTION_DAYS, METRICS_RETENTION_DAYS
 from waypost.sources.tables import utc
-from waypost.workspace import children, delete, release, settle, shared_root
+from waypost.workspace import children, claim, delete, release, settle, shared_root
 
 
 def _bronze_layout(df: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def write_quarantine(quarantine: DataFrame, path: str, mode: str = "append") ->
 
 
 def materialize(
-    df: DataFrame, name: str, order_by: Sequence[str] = (), root: str | None = None
+    df: DataFrame, name: str, order_by: Sequence[str] = (), root: str | None = None, how: str = "table"
 ) -> DataFrame:
     """Full rebuild of a model table under ``root``, swapped in when complete.
 
@@ -158,23 +158,44 @@ def materialize(
     pointer file names it, which every application that calls ``read_model`` sees. The
     version before stays for readers that are still on it; older ones are deleted.
     ``root`` defaults to ``models`` in the shared folder.
+
+    A rebuild first claims its number by a file that only one writer can create, so two
+    rebuilds at a time write two versions, and the one that claimed last is read. One
+    that two later ones have overtaken may lose its files; nobody would read them.
+
+    ``how="view"`` writes nothing: the model is a temporary view of this session, computed
+    whenever it is read. Ordering belongs to readers then.
     """
+    if how not in ("table", "view"):
+        raise ValueError(f"unknown materialization {how!r}")
     spark = df.sparkSession
+    if how == "view":
+        df.createOrReplaceTempView(name)
+        return spark.table(name)
     home = model_home(spark, name, root)
     versions = _versions(spark, home)
-    number = max(versions, default=-1) + 1
+    number = _claimed(spark, home, max(versions, default=-1) + 1)
     rows = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
     rows.write.option("compression", "zstd").parquet(f"{home}/version={number}")
     spark.range(1).select(F.lit(number).cast("string")).coalesce(1).write.mode("overwrite").text(
         f"{home}/current/version={number}"
     )
-    for old in versions:
-        if old < number - 1:
-            delete(spark, f"{home}/version={old}")
-            delete(spark, f"{home}/current/version={old}")
+    # The version before stays; a rebuild that runs at the same time is not older than it.
+    before = max((n for n in _complete(spark, home) if n < number), default=number - 1)
+    for old in (n for n in versions if n < before):
+        delete(spark, f"{home}/version={old}")
+        delete(spark, f"{home}/current/version={old}")
+        delete(spark, f"{home}/claims/version={old}")
     return read_model(spark, name, root)
 
 
+def _claimed(spark: SparkSession, home: str, number: int) -> int:
+    """The first number from ``number`` on that no other writer has."""
+    while not claim(spark, f"{home}/claims/version={number}"):
+        number += 1
+    return number
+
+
 def model_home(spark: SparkSession, name: str, root: str | None = None) -> str:
     return f"{root or f'{shared_root(spark)}/models'}/{name}"
 
@@ -184,15 +205,20 @@ def _numbered(spark: SparkSession, path: str) -> list[int]:
 
 
 def _versions(spark: SparkSession, home: str) -> list[int]:
-    return sorted(_numbered(spark, home))
+    """Numbers that a rebuild has claimed or written."""
+    return sorted({*_numbered(spark, home), *_numbered(spark, f"{home}/claims")})
+
+
+def _complete(spark: SparkSession, home: str) -> list[int]:
+    return [
+        n for n in _numbered(spark, f"{home}/current") if "_SUCCESS" in children(spark, f"{home}/current/version={n}")
+    ]
 
 
 def read_model(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
     """The newest complete version of a model table, from any application."""
     home = model_home(spark, name, root)
-    complete = [
-        n for n in _numbered(spark, f"{home}/current") if "_SUCCESS" in children(spark, f"{home}/current/version={n}")
-    ]
+    complete = _complete(spark, home)
     if not complete:
         raise FileNotFoundError(f"no complete version of {name} at {home}")
     return spark.read.parquet(f"{home}/version={max(complete)}")

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from waypost import schemas
 from waypost.operators.validation import split_valid, validate
 from waypost.params import BATCH_SECONDS, MAX_INVALID_RATIO, RATIO_GUARD_MIN_MESSAGES
+from waypost.plans.partials import add_partials
 from waypost.sinks.tables import (
     ingest_metrics,
     write_bronze,
@@ -38,6 +39,7 @@ class IngestPaths:
     metrics: str
     checkpoint: str
     table: str | None = None
+    partials: str | None = None
 
 
 class _EnoughBatches(Exception):
@@ -106,6 +108,8 @@ def start_bronze(
             }
             if paths.table:
                 targets["table"] = lambda rows: write_bronze_table(rows, paths.table, batch=batch_id)
+            if paths.partials:
+                targets["partials"] = lambda rows: add_partials(rows, paths.partials, batch_id)
             write_fanout(valid, targets, on_partial)
             if counted.invalid_messages:
                 write_quarantine(rejected, f"{paths.quarantine}/batch={batch_id}", mode="overwrite")

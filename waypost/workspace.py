@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +84,18 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there, as another writer had come first."""
+    files, at = _folder(spark, path)
+    try:
+        files.create(at, False).close()
+    except Py4JJavaError as error:
+        if files.exists(at):
+            return False
+        raise error
+    return True
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
