@@ -68,3 +68,29 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     docs = spark.createDataFrame([(None, "a@b.co"), (1, "a@b.co"), (1, "a@b.co"), (2, None)], "doc_id long, text string")
     assert sorted((str(r.doc_id), len(r.spans)) for r in find_spans(docs).collect()) == [("1", 1), ("1", 1), ("2", 0), ("None", 1)]
     assert find_spans(docs.limit(0)).collect() == []
+
+
+def test_context_turns_a_rejected_span_into_an_accepted_one(spark):
+    key = "Zq81hTb3Lw0pXs6Vn2Kd"
+    texts = [
+        "part 123-45-6789 in stock", "social security 123-45-6789 on file", "ssn 000-45-6789",
+        f"see {key} there", f"api key: {key}.", f"token {'a' * 30}", "ssn " + "x" * 41 + " 123-45-6789",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.kind, s.value, round(s.score, 2)) for s in r.spans] for r in find_spans(docs).collect()}
+    assert found == {
+        0: [], 1: [("ssn", "123-45-6789", 0.6)], 2: [], 3: [], 4: [("secret", key, 0.6)], 5: [], 6: [],
+    }
+    everything = {r.doc_id: len(r.spans) for r in find_spans(docs, accept=0.0).collect()}
+    assert everything == {0: 1, 1: 1, 2: 0, 3: 1, 4: 1, 5: 0, 6: 1}
+
+
+def test_redaction_keeps_repeated_and_null_ids(spark):
+    docs = spark.createDataFrame(
+        [(None, "a@b.co", 1), (1, "a@b.co", 2), (1, "x", 3), (1, "x", 4), (2, None, 5), (3, "", 6)],
+        "doc_id long, text string, spans int",
+    )
+    got = sorted((str(r.doc_id), r.redacted) for r in redact(docs).where("redacted IS NOT NULL").collect())
+    assert got == [("1", "[email]"), ("1", "x"), ("1", "x"), ("3", ""), ("None", "[email]")]
+    assert redact(docs).where("redacted IS NULL").first().doc_id == 2
+    assert redact(docs.limit(0)).collect() == []

@@ -20,6 +20,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "secret": r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}+",
 }
 BASE = ("email", "ip", "card", "phone")
 
@@ -30,6 +32,8 @@ _HINTS = {
     "card": lambda t: t.rlike(r"[0-9][\x20-]?[0-9]"),
     "phone": lambda t: F.contains(t, F.lit("+")),
     "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]"),
+    "ssn": lambda t: t.rlike(r"[0-9]-[0-9]{2}-[0-9]"),
+    "secret": lambda t: t.rlike(r"[A-Za-z0-9_/+-]{20}"),
 }
 
 #: Words that, within ``NEARBY`` characters, raise the score of a kind.
@@ -39,11 +43,16 @@ CONTEXT = {
     "card": "card|visa|credit|karte|carte|tarjeta",
     "phone": "phone|call|tel|mobile|fax",
     "iban": "iban|account|bank|konto|compte|cuenta",
+    "ssn": "ssn|social security|social",
+    "secret": "key|apikey|api_key|token|secret|password|passwd|bearer|credential|credentials",
 }
 NEARBY = 40
-SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8}
+SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.4, "secret": 0.4}
 CONTEXT_BONUS = 0.2
 
+#: Score from which a span of an added kind counts; base kinds always do.
+ACCEPT = 0.5
+
 _SPAN = "array<struct<start:bigint,order:int,kind:string,end:bigint,value:string,score:double>>"
 
 
@@ -102,6 +111,9 @@ def _valid(kind: Column, value: Column) -> Column:
         .when(kind == "card", F.when(count.between(12, 19), luhn(digits)).otherwise(False))
         .when(kind == "phone", count.between(9, 15))
         .when(kind == "iban", mod97(F.regexp_replace(value, " ", "")))
+        # Area, group and serial numbers that are never issued.
+        .when(kind == "ssn", ~value.rlike("^(?:000|666|9)|-00-|-0000$"))
+        .when(kind == "secret", value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
     )
 
 
@@ -113,12 +125,14 @@ def _score(kind: Column, around: Column) -> Column:
     return score
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
     """One row per row of ``docs``: its id and ``spans``, an array sorted by start and kind.
 
     A span has ``start``, ``order`` (of its kind), ``kind``, ``end`` (code points, end
     exclusive), ``value`` and ``score`` (0 to 1; higher where a word of the kind's
-    context is near). Per kind, matches are leftmost and do not overlap; those that
+    context is near). Spans of the kinds beyond the base ones count from a score of
+    ``accept`` on: an account number by its checksum alone, a social security number or a
+    key only with a word of its context within ``NEARBY`` characters. Per kind, matches are leftmost and do not overlap; those that
     fail their check are dropped and not tried again. Spans of different kinds may
     overlap. A null or empty text has no spans. Repeated rows and null ids come out as
     often as they went in, other columns are not read, and no rows give no rows.
@@ -146,19 +160,21 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     before = Window.partitionBy("row", "order").orderBy("pos")
     placed = found.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(before))
     kind, value = F.col("kind"), F.col("value")
+    score = _score(kind, F.col("around"))
     span = F.struct(
         (F.col("end") - F.length(value)).alias("start"),
         F.col("order"),
         kind,
         F.col("end"),
         value,
-        _score(kind, F.col("around")).alias("score"),
+        score.alias("score"),
     )
+    counts = _valid(kind, value) & (kind.isin(*BASE) | (score >= accept))
     return (
         placed.groupBy("row")
         .agg(
             F.first("id").alias("id"),
-            F.array_sort(F.collect_list(F.when(_valid(kind, value), span))).cast(_SPAN).alias("spans"),
+            F.array_sort(F.collect_list(F.when(counts, span))).cast(_SPAN).alias("spans"),
         )
         .select(F.col("id").alias(id_col), "spans")
     )
@@ -178,15 +194,21 @@ def of_kinds(spans: Column, *kinds: str) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row its id and ``redacted``: the text with each span's characters as its kind in brackets.
 
-    Works on ``docs`` whose ids are unique; of overlapping spans the first one counts.
+    Of overlapping spans the first one counts. Spans follow from the text, so they are
+    found once for each distinct text and joined by its digest: repeated ids and rows and
+    null ids come out as they went in. A null text stays null, an empty one empty; other
+    columns are not read, and no rows give no rows.
     """
-    spans = find_spans(docs, id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    spans = find_spans(rows.dropDuplicates(["digest"]), "digest", "text")
+    text = F.col("text")
 
     def step(done, s):
         fits = s["start"] >= done["at"]
         added = F.concat(
             done["out"],
-            F.substring(F.col(text_col), (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int")),
+            F.substring(text, (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int")),
             F.lit("["),
             s["kind"],
             F.lit("]"),
@@ -197,5 +219,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         )
 
     empty = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-    rest = lambda d: F.concat(d["out"], F.substring(F.col(text_col), (d["at"] + 1).cast("int"), F.length(text_col)))
-    return docs.join(spans, id_col).select(id_col, F.aggregate("spans", empty, step, rest).alias("redacted"))
+    rest = lambda d: F.concat(d["out"], F.substring(text, (d["at"] + 1).cast("int"), F.length(text)))
+    return rows.join(spans, "digest").select(
+        F.col("id").alias(id_col), F.aggregate("spans", empty, step, rest).alias("redacted")
+    )

@@ -88,6 +88,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(F.size(of_kinds(spans, kind)).cast("long").alias(f"n_{kind}") for kind in BASE),
         F.sha2(listed(of_kinds(spans, *BASE)), 256).alias("base_sha256"),
         listed(spans).alias("spans"),
+        F.array_max(F.transform(spans, lambda s: s["score"])).alias("score"),
     )
 
 
