@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -13,6 +14,7 @@ from waypost.streaming.live import read_live, start_live
 from waypost.streaming.marts import read_flights, read_traffic, rebuild_flights, rebuild_traffic
 from waypost.streaming.sessions import number_batch, published, read_sessions, start_sessions
 from waypost.streaming.silver import drop_superseded, merge_latest, read_latest, start_silver, stream_bronze
+from waypost.workspace import shared_root
 
 
 def paths(tmp_path):
@@ -90,6 +92,25 @@ def test_ingest_stops_when_the_schema_breaks(spark, tmp_path):
     assert not (tmp_path / "bronze").exists()
 
 
+def test_a_batch_is_validated_once(spark, tmp_path):
+    """However many targets read it: one execution per batch parses JSON, the others scan its table."""
+    where = paths(tmp_path)
+    for n in range(2):
+        folder = land(tmp_path, f"{n}.ndjson", RECORD | {"icao24": f"a{n}"}, RECORD | {"icao24": f"a{n}"}, "{broken")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    start_bronze(stream_ndjson(spark, folder, 1), where, bounded=True).awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList(int(before), 1000)
+    plans = [runs.apply(k).physicalPlanDescription() for k in range(runs.size())]
+    assert sum("from_json" in p and "WriteFiles" in p for p in plans) == 2
+    assert not any("InMemoryTableScan" in p for p in plans)
+    assert sum("WriteFiles" in p and "from_json" not in p for p in plans) == 2 * 4  # bronze, table, quarantine, metrics
+    metrics = spark.read.parquet(where.metrics).collect()
+    assert [tuple(m)[1:5] for m in metrics] == [(3, 2, 1, 1)] * 2
+    assert not list(Path(shared_root(spark)).glob("ingest-*/*.parquet"))
+
+
 def test_silver_merge_equals_batch_and_repeats_safely(spark, tmp_path):
     first = bronze(spark, {"t": 0, "callsign": "A"}, {"t": 0, "callsign": "B", "ingested_at": at(5)}, {"t": 90_000})
     second = bronze(spark, {"t": 0, "callsign": "C", "ingested_at": at(3)}, {"t": 5})

@@ -71,11 +71,12 @@ def write_fanout(
     df: DataFrame,
     targets: Mapping[str, Callable[[DataFrame], None]],
     on_partial: str = "fail",
+    stored: bool = False,
 ) -> dict[str, str | None]:
     """Give one batch to every target; all are tried, then failures are reported.
 
     The batch is persisted meanwhile, so that it is computed once and all targets get
-    the same rows.
+    the same rows; ``stored`` says that it is read from a table and needs no copy.
     Returns the error text per target, None for a success. ``on_partial="fail"``
     raises when any target failed, so that the batch is retried whole;
     ``"continue"`` raises only when all did.
@@ -83,7 +84,7 @@ def write_fanout(
     if on_partial not in ("fail", "continue"):
         raise ValueError(f"unknown on_partial {on_partial!r}")
     outcome: dict[str, str | None] = {}
-    held = not df.is_cached
+    held = not stored and not df.is_cached
     if held:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -7,22 +7,17 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waypost import schemas
 from waypost.operators.validation import split_valid, validate
 from waypost.params import BATCH_SECONDS, MAX_INVALID_RATIO, RATIO_GUARD_MIN_MESSAGES
 from waypost.plans.partials import add_partials
-from waypost.sinks.tables import (
-    ingest_metrics,
-    write_bronze,
-    write_bronze_table,
-    write_fanout,
-    write_quarantine,
-)
+from waypost.sinks.tables import write_bronze, write_bronze_table, write_fanout, write_quarantine
+from waypost.workspace import release, settle_observed
 
 
 log = logging.getLogger(__name__)
@@ -69,7 +64,10 @@ def start_bronze(
 ) -> StreamingQuery:
     """Validate, write and quarantine micro-batches of raw text.
 
-    A batch's offsets are committed after its targets are written. Everything it
+    A batch is validated once, into a table of the shared folder that all targets read;
+    its messages are counted during that write, and only distinct observations take a
+    narrow pass over the table. Too many invalid ones stop the job before any target is
+    written. A batch's offsets are committed after its targets are written. Everything it
     writes lies in folders with its number, so a batch that is retried after a partial
     write replaces what it had written. The batch size is the source's
     ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``; ``bounded`` takes what is there
@@ -98,10 +96,17 @@ def start_bronze(
         if progress.max_batches is not None and progress.batches >= progress.max_batches:
             progress.stopped = True
             raise _EnoughBatches
-        validated = validate(batch, value_col).persist(StorageLevel.MEMORY_AND_DISK)
+        at = dt.datetime.now(dt.timezone.utc)
+        validated, counted = settle_observed(
+            validate(batch, value_col),
+            "ingest",
+            messages_consumed=F.count(F.lit(1)),
+            rows_written=F.count_if(F.col("reason").isNull()),
+            invalid_messages=F.count_if(F.col("reason").isNotNull()),
+        )
+        counted = {name: n or 0 for name, n in counted.items()}
         try:
-            counted = ingest_metrics(validated, dt.datetime.now(dt.timezone.utc)).first()
-            guard(counted.asDict(), validated)
+            guard(counted, validated)
             valid, rejected = split_valid(validated, value_col)
             targets: dict[str, Callable[[DataFrame], None]] = {
                 "bronze": lambda rows: write_bronze(rows, paths.bronze, batch=batch_id)
@@ -110,13 +115,15 @@ def start_bronze(
                 targets["table"] = lambda rows: write_bronze_table(rows, paths.table, batch=batch_id)
             if paths.partials:
                 targets["partials"] = lambda rows: add_partials(rows, paths.partials, batch_id)
-            write_fanout(valid, targets, on_partial)
-            if counted.invalid_messages:
+            write_fanout(valid, targets, on_partial, stored=True)
+            if counted["invalid_messages"]:
                 write_quarantine(rejected, f"{paths.quarantine}/batch={batch_id}", mode="overwrite")
-            record(batch.sparkSession.createDataFrame([counted], schemas.INGEST_METRICS), batch_id)
+            distinct = valid.select("icao24", "observed_at").distinct().count()
+            row = (at, *counted.values(), distinct)
+            record(batch.sparkSession.createDataFrame([row], schemas.INGEST_METRICS), batch_id)
         finally:
-            validated.unpersist()
-        progress.batches += counted.messages_consumed > 0
+            release(validated)
+        progress.batches += counted["messages_consumed"] > 0
 
     def record(metrics: DataFrame, batch_id: int) -> None:
         try:

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``settle``, with aggregates over the rows collected while they are written.
+
+    Without a shuffle in ``df`` its tasks are those of the write, each of which counts
+    once however often it is tried.
+    """
+    seen = Observation()
+    settled = settle(df.observe(seen, *[c.alias(n) for n, c in measures.items()]), name)
+    return settled, {n: seen.get.get(n) for n in measures}
+
+
 def release(settled: DataFrame) -> None:
     """Delete the files of a settled table; it cannot be read from then on."""
     files = settled.inputFiles()
