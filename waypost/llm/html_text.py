@@ -9,23 +9,30 @@ by their kind or name (menus, footers, adverts, forms, comments and so on) are l
 wherever they are; sharing decides for all other lines.
 
 The sort is a range partitioning by (host, path, id): a host with a third of all pages
-is many partitions. A page at the edge of a partition has the neighbour on its other
-side. A task holds three pages at a time, and the ids and URLs of adjacent copies.
+is many partitions. The first and the last page of a partition, with their copies, are
+left open there; a join of these records, two of a partition, gives them the neighbour
+on the other side, so that no page's text depends on where partitions end. A task holds
+four pages at a time, and the ids and URLs of adjacent copies.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
 import html
+import json
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from waypost.workspace import settle
+
 # HTML's element kinds.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas"}
 FRAME = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "head"}
@@ -166,9 +173,9 @@ def shared(own: list[str], other: list[str]) -> set[int]:
     return out
 
 
-def main_text(own: list[Line], near: list[Line] | None) -> str:
+def main_text(own: list[Line], near: list[str] | None) -> str:
     """The lines of ``own`` that are main text, given those of the nearest page."""
-    common = shared([x.text for x in own], [x.text for x in near]) if near else set()
+    common = shared([x.text for x in own], near) if near else set()
     kept = [x.text for k, x in enumerate(own) if not x.framed and (x.article or k not in common)]
     return "\n".join(kept)
 
@@ -182,52 +189,143 @@ def _same_start(a: str, b: str) -> int:
     return n
 
 
-def _extracting(id_type: pa.DataType):
-    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            for page_id, url, host, path, page in zip(*(c.to_pylist() for c in batch.columns)):
-                yield page_id, url, host, path, lines(page or "")
-
-    def copies(rows: Iterator[tuple]) -> Iterator[tuple]:
-        """Host, body lines and all lines, and (id, url, path) of each of adjacent pages with one body."""
-        held = None
-        for page_id, url, host, path, found in rows:
-            body = [x for x in found if not x.framed]
-            if held is None or held[0] != host or held[1] != body:
+@dataclass
+class Near:
+    """A neighbour: its path and the text of its lines."""
+
+    path: str
+    texts: list[str]
+
+
+@dataclass
+class Group:
+    """Adjacent pages with one body on one host."""
+
+    host: str
+    body: list[Line]
+    first: Near
+    last: Near
+    members: list[tuple] = field(default_factory=list)  # id, url, path
+
+
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[Group]:
+    held = None
+    for batch in batches:
+        for page_id, url, host, path, page in zip(*(c.to_pylist() for c in batch.columns)):
+            found = lines(page or "")
+            body, here = [x for x in found if not x.framed], Near(path, [x.text for x in found])
+            if held is None or held.host != host or held.body != body:
                 if held is not None:
                     yield held
-                held = (host, body, found, [])
-            held[3].append((page_id, url, path))
-        if held is not None:
-            yield held
+                held = Group(host, body, here, here)
+            held.last = here
+            held.members.append((page_id, url, path))
+    if held is not None:
+        yield held
+
+
+def _nearest(path: str, before: str | None, after: str | None) -> int:
+    """0 for the neighbour before, 1 for the one after, -1 for none; the one before if equally near."""
+    if before is None or after is None:
+        return -1 if before is after else int(before is None)
+    return int(_same_start(after, path) > _same_start(before, path))
+
+
+def _batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], sized: list[int]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of a few megabytes by the text columns ``sized``."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(row[k] or "") for k in sized) + 100
+        if size > 4_000_000:
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+            held, size = [], 0
+    if held:
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+
+
+def _extracting(id_type: pa.DataType):
+    """Texts of a partition's pages; those of its first (side 0) and last (1) group stay open.
+
+    An open group is a row without id that holds what its neighbours need of it, and a
+    row without text for each of its pages.
+    """
+    names = ["pid", "side", "id", "url", "path", "text", "group"]
+    types = [pa.int32(), pa.int32(), id_type, pa.string(), pa.string(), pa.string(), pa.string()]
+
+    def on_host(x: Group | None, here: Group) -> bool:
+        return x is not None and x.host == here.host != ""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        pid = TaskContext.get().partitionId()
         before = here = None
-        for after in _then_none(copies(pages(batches))):
+        for after in _then_none(_groups(batches)):
             if here is not None:
-                near = [(x, x[3][k][2]) for x, k in ((before, -1), (after, 0)) if x and x[0] and x[0] == here[0]]
-                made: dict[int, str] = {}
-                for page_id, url, path in here[3]:
-                    # The earlier one if equal.
-                    k = max(range(len(near)), key=lambda k: _same_start(near[k][1], path), default=-1)
-                    if k not in made:
-                        made[k] = main_text(here[1], near[k][0][2] if near else None)
-                    yield page_id, url, made[k]
+                near = [before.last if on_host(before, here) else None, after.first if on_host(after, here) else None]
+                if before is None or after is None:
+                    side = int(before is not None)
+                    yield pid, side, None, None, None, None, _open_group(here, near, before is None and after is None)
+                    for page in here.members:
+                        yield pid, side, *page, None, None
+                else:
+                    made: dict[int, str] = {}
+                    for page in here.members:
+                        k = _nearest(page[2], *(x and x.path for x in near))
+                        if k not in made:
+                            made[k] = main_text(here.body, near[k].texts if k >= 0 else None)
+                        yield pid, None, *page[:2], None, made[k], None
             before, here = here, after
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        types = [id_type, pa.string(), pa.string()]
-        for row in texts(batches):
-            held.append(row)
-            size += len(row[2]) + 100
-            if size > 4_000_000:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held), types)], ["id", "url", "text"])
-                held, size = [], 0
-        if held:
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held), types)], ["id", "url", "text"])
+    return lambda batches: _batches(texts(batches), names, types, [5, 6])
+
+
+def _open_group(here: Group, near: list[Near | None], whole: bool) -> str:
+    body = [(x.text, x.article) for x in here.body]
+    return json.dumps(
+        {
+            "host": here.host,
+            "digest": hashlib.sha256(json.dumps(body).encode()).hexdigest(),
+            "whole": whole,
+            "body": body,
+            "first": vars(here.first),
+            "last": vars(here.last),
+            "near": [x and vars(x) for x in near],
+        }
+    )
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per open group the paths of its two neighbours and its text against each and against none."""
+    names = ["pid", "side", "before_path", "after_path", "before_text", "after_text", "lone_text"]
+    types = [pa.int32(), pa.int32(), *[pa.string()] * 5]
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for pid, side, own, before, inside_before, after, inside_after in zip(*(c.to_pylist() for c in batch.columns)):
+                own, near = json.loads(own), []
+                for group, inside, at, end in ((before, inside_before, 0, "last"), (after, inside_after, 1, "first")):
+                    group = group and json.loads(group)
+                    if group and inside:
+                        near.append(group["near"][at])
+                    else:
+                        near.append(group[end] if group and group["host"] == own["host"] != "" else None)
+                body = [Line(text, False, article) for text, article in own["body"]]
+                texts = [x and main_text(body, x["texts"]) for x in near]
+                yield pid, side, *(x and x["path"] for x in near), *texts, main_text(body, None)
+
+    return _batches(rows(), names, types, [4, 5, 6])
+
+
+def _choosing(id_type: pa.DataType):
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for page_id, url, path, before, after, *texts in zip(*(c.to_pylist() for c in batch.columns)):
+                    yield page_id, url, texts[_nearest(path, before, after)]
+
+        return _batches(rows(), ["id", "url", "text"], [id_type, pa.string(), pa.string()], [2])
 
-    return run
+    return choose
 
 
 def _then_none(rows: Iterator) -> Iterator:
@@ -235,6 +333,50 @@ def _then_none(rows: Iterator) -> Iterator:
     yield None
 
 
+def _neighbours(groups: DataFrame) -> DataFrame:
+    """Each open group with those to take its neighbours from.
+
+    Groups of adjacent partitions with one body are one run. Its neighbours lie beyond
+    its ends: inside the end's partition if that has more groups, else in the next open
+    group. The window sees two short rows of each partition.
+    """
+    order = Window.orderBy("pid", "side")
+    same = F.lag("key").over(order) == F.col("key")
+    at = F.struct("pid", "side")
+    short = groups.select(
+        "pid",
+        "side",
+        F.struct(*[F.get_json_object("group", f"$.{c}").alias(c) for c in ("host", "digest")]).alias("key"),
+        (F.get_json_object("group", "$.whole") == "true").alias("whole"),
+    ).select(
+        "*",
+        F.sum(F.when((F.col("side") == 0) & same, 0).otherwise(1)).over(order).alias("run"),
+        F.lag(at).over(order).alias("prev"),
+        F.lead(at).over(order).alias("next"),
+    )
+    run = Window.partitionBy("run").orderBy("pid", "side").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = short.select(
+        "pid",
+        "side",
+        F.first(F.struct(at.alias("at"), "prev")).over(run).alias("a"),
+        F.last(F.struct(at.alias("at"), "next", "whole")).over(run).alias("b"),
+    ).select(
+        "pid",
+        "side",
+        (F.col("a.at.side") == 1).alias("inside_before"),
+        ((F.col("b.at.side") == 0) & ~F.col("b.whole")).alias("inside_after"),
+        F.when(F.col("a.at.side") == 1, F.col("a.at")).otherwise(F.col("a.prev")).alias("before_at"),
+        F.when((F.col("b.at.side") == 0) & ~F.col("b.whole"), F.col("b.at")).otherwise(F.col("b.next")).alias("after_at"),
+    )
+    held = groups.select(at.alias("at"), "group")
+    return (
+        groups.join(placed, ["pid", "side"])
+        .join(held.select(F.col("at").alias("before_at"), F.col("group").alias("before")), "before_at", "left")
+        .join(held.select(F.col("at").alias("after_at"), F.col("group").alias("after")), "after_at", "left")
+        .select("pid", "side", "group", "before", "inside_before", "after", "inside_after")
+    )
+
+
 def extract_text(
     pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
@@ -242,7 +384,8 @@ def extract_text(
 
     A null or empty page has an empty text. A page without a URL or host, or alone on
     its host, is compared with none. Repeated rows come out each time, with one text.
-    Other columns are not read, and no rows give no rows.
+    Other columns are not read, and no rows give no rows. The result does not depend on
+    the partitioning.
     """
     kind = pages.schema[id_col].dataType
     url = F.coalesce(F.col(url_col), F.lit(""))
@@ -253,10 +396,24 @@ def extract_text(
         F.lower(F.regexp_extract(url, parts, 1)).alias("host"),
         F.regexp_extract(url, parts, 2).alias("path"),
         F.col(html_col).alias("html"),
+        F.xxhash64(url_col, html_col).alias("print"),
+    )
+    order = ["host", "path", "id", "print"]
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("print")
+    schema = f"pid int, side int, id {kind.simpleString()}, url string, path string, text string, group string"
+    made = settle(sorted_.mapInArrow(_extracting(to_arrow_type(kind)), schema), "pages")
+    groups = made.where("group IS NOT NULL").select("pid", "side", "group")
+    closed = _neighbours(groups).mapInArrow(
+        _close,
+        "pid int, side int, before_path string, after_path string, before_text string, after_text string, lone_text string",
     )
-    order = ["host", "path", "id"]
-    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = f"id {kind.simpleString()}, url string, text string"
-    return sorted_.mapInArrow(_extracting(to_arrow_type(kind)), schema).select(
-        F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars")
+    members = made.where("side IS NOT NULL AND group IS NULL").join(closed, ["pid", "side"])
+    late = members.select(
+        "id", "url", "path", "before_path", "after_path", "before_text", "after_text", "lone_text"
+    ).mapInArrow(_choosing(to_arrow_type(kind)), f"id {kind.simpleString()}, url string, text string")
+    return (
+        made.where("side IS NULL")
+        .select("id", "url", "text")
+        .unionByName(late)
+        .select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
     )
