@@ -3,17 +3,23 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from waypost.llm.html_text import extract_text, lines, main_text, _same_start
+from waypost.llm import html_text
+from waypost.llm.html_text import _same_start, extract_text, lines, main_text
 
+SCHEMA = "page_id long, url string, html string"
 
-def brute_force(rows):
+
+def brute_force(spark, rows):
     """By the definition, in one list: the nearest page beyond a page's copies, by path."""
+    keyed = spark.createDataFrame(rows, SCHEMA).select("page_id", F.xxhash64("page_id", "url").alias("print"))
+    prints = {r.page_id: r.print for r in keyed.collect()}
     pages = []
     for page_id, url, page in rows:
         host, _, path = url.split("//")[1].partition("/")
         pages.append((host, "/" + path.split("?")[0], page_id, url, lines(page)))
-    pages.sort(key=lambda p: p[:3])
+    pages.sort(key=lambda p: (p[0], p[1], prints[p[2]]))
     body = [[x for x in p[4] if not x.framed] for p in pages]
     out = []
     for k, (host, path, page_id, url, _) in enumerate(pages):
@@ -45,20 +51,18 @@ def rows():
 
 
 @pytest.mark.parametrize("parts", [1, 7, 211])
-def test_any_partitioning_gives_brute_force_texts(spark, rows, parts):
-    settings = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    before = {k: spark.conf.get(k) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+def test_any_partitioning_gives_brute_force_texts(spark, rows, parts, monkeypatch):
+    monkeypatch.setattr(html_text, "PARTITION_PAGES", 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+        frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
         got = sorted((r.page_id, r.url, r.text) for r in extract_text(frame).collect())
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    assert got == brute_force(rows)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == brute_force(spark, rows)
 
 
-def test_some_lines_are_decided_by_the_neighbour(rows):
+def test_some_lines_are_decided_by_the_neighbour(spark, rows):
     alone = {page_id: main_text(lines(page), None) for page_id, _, page in rows}
-    assert sum(text != alone[page_id] for page_id, _, text in brute_force(rows)) > len(rows) / 2
+    assert sum(text != alone[page_id] for page_id, _, text in brute_force(spark, rows)) > len(rows) / 2

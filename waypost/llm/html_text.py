@@ -8,11 +8,14 @@ page's own article element are kept in spite of that, and elements that hold no
 by their kind or name (menus, footers, adverts, forms, comments and so on) are left out
 wherever they are; sharing decides for all other lines.
 
-The sort is a range partitioning by (host, path, id): a host with a third of all pages
-is many partitions. The first and the last page of a partition, with their copies, are
-left open there; a join of these records, two of a partition, gives them the neighbour
-on the other side, so that no page's text depends on where partitions end. A task holds
-four pages at a time, and the ids and URLs of adjacent copies.
+The sort is a range partitioning by (host, path, a hash of id and URL): a host with a
+third of all pages is many partitions. Their bounds come from a sample of the keys, as
+those of Spark's own range partitioning do. A first pass shuffles keys and digests of
+bodies only; it finds for each partition the one page before and the one after it that
+its own pages at the edges, with their copies, are to be compared with. The second pass
+sends these two to the partition as well, so that no page's text depends on where
+partitions end. Pages are parsed in both passes, and only their lines are shuffled. A
+task holds four pages at a time, and the ids and URLs of adjacent copies.
 """
 
 from __future__ import annotations
@@ -20,19 +23,17 @@ from __future__ import annotations
 import bisect
 import hashlib
 import html
-import json
+import itertools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from waypost.workspace import settle
-
 # HTML's element kinds.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas"}
 FRAME = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "head"}
@@ -44,6 +45,12 @@ BLOCK = ARTICLE | FRAME | {
     "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 
+#: Least pages in a partition; there are no more partitions than Spark's shuffles have.
+PARTITION_PAGES = 500
+
+#: Keys sampled for the bounds of partitions, of each and in all.
+SAMPLED_KEYS = (100, 1_000_000)
+
 #: Words in a class, id or role that mark a part as no main text.
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|comments?|consent|cookies?|disqus|dialog"
@@ -205,20 +212,117 @@ class Group:
     body: list[Line]
     first: Near
     last: Near
-    members: list[tuple] = field(default_factory=list)  # id, url, path
+    members: list[tuple] = field(default_factory=list)  # id, url, path; none if pages of another partition
 
 
-def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[Group]:
-    held = None
+def _packed(found: list[Line]) -> str:
+    """Lines as one text; a line has no line end, and its first character holds both flags."""
+    return "\n".join(f"{x.framed + 2 * x.article}{x.text}" for x in found)
+
+
+def _unpacked(packed: str) -> list[Line]:
+    return [Line(x[1:], x[0] in "13", x[0] in "23") for x in packed.split("\n")] if packed else []
+
+
+Key = tuple[str, str, int, int]  # host, path, hash of id and URL, hash of lines
+
+
+def _parsed(batches: Iterator[pa.RecordBatch], bounds: list[tuple]) -> Iterator[tuple]:
+    """Per page its partition, id, URL, key and lines."""
     for batch in batches:
-        for page_id, url, host, path, page in zip(*(c.to_pylist() for c in batch.columns)):
+        for page_id, url, host, path, print_, page in zip(*(c.to_pylist() for c in batch.columns)):
             found = lines(page or "")
-            body, here = [x for x in found if not x.framed], Near(path, [x.text for x in found])
-            if held is None or held.host != host or held.body != body:
-                if held is not None:
-                    yield held
-                held = Group(host, body, here, here)
-            held.last = here
+            mark = xxhash.xxh3_64_intdigest(_packed(found)) >> 1
+            yield bisect.bisect_right(bounds, (host, path, print_)), page_id, url, (host, path, print_, mark), found
+
+
+def _sketching(bounds: list[tuple]):
+    """Pages' keys and digests of their bodies."""
+    names = ["pid", "host", "path", "print", "mark", "digest"]
+    types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for pid, _, _, key, found in _parsed(batches, bounds):
+            body = _packed([x for x in found if not x.framed])
+            yield pid, *key, hashlib.blake2b(body.encode(), digest_size=16).digest()
+
+    return lambda batches: _batches(rows(batches), names, types, [])
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per partition the first and last page of its first two and its last two groups, if it has two."""
+    key = pa.struct([("host", pa.string()), ("path", pa.string()), ("print", pa.int64()), ("mark", pa.int64())])
+    group = pa.struct([("first", key), ("last", key), ("digest", pa.binary())])
+    names = ["pid", "head", "tail"]
+
+    def rows() -> Iterator[tuple]:
+        pages = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for pid, own in itertools.groupby(pages, lambda row: row[0]):
+            head, tail = [], []
+            for (_, digest), same in itertools.groupby(own, lambda row: (row[1], row[5])):
+                first = last = next(same)
+                for last in same:
+                    pass
+                made = {"first": _key(first), "last": _key(last), "digest": digest}
+                head, tail = (head + [made])[:2], (tail + [made])[-2:]
+            yield pid, head, tail
+
+    return _batches(rows(), names, [pa.int32(), pa.list_(group), pa.list_(group)], [])
+
+
+def _key(row: tuple) -> dict:
+    return dict(zip(("host", "path", "print", "mark"), row[1:5]))
+
+
+def _handed_over(partitions: list) -> dict[Key, list[int]]:
+    """Pages that partitions other than their own need, from the groups at partitions' edges.
+
+    Groups of adjacent partitions with one body are one; the page is the one beyond all of it.
+    """
+    out: dict[Key, list[int]] = {}
+    for ordered, near_end, far_end, side in (
+        (partitions, "head", "tail", "last"),
+        (partitions[::-1], "tail", "head", "first"),
+    ):
+        page, near = None, 0 if near_end == "head" else -1
+        for before, here in zip(ordered, ordered[1:]):
+            edge, beyond = here[near_end][near], before[far_end][-1 - near]
+            if (beyond["first"]["host"], beyond["digest"]) != (edge["first"]["host"], edge["digest"]):
+                page = tuple(beyond[side])
+            elif len(before[far_end]) > 1:
+                page = tuple(before[far_end][near][side])
+            # Else all of that partition is one group with this one's, and has the same page beyond it.
+            if page and page[0] == edge["first"]["host"] != "":
+                out.setdefault(page, []).append(here["pid"])
+    return out
+
+
+def _dealing(bounds: list[tuple], wanted: dict[Key, list[int]], id_type: pa.DataType):
+    """Pages' lines to their own partition, and to those that they are handed over to."""
+    names = ["pid", "own", "id", "url", "host", "path", "print", "mark", "lines"]
+    types = [pa.int32(), pa.bool_(), id_type, *[pa.string()] * 3, pa.int64(), pa.int64(), pa.string()]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for pid, page_id, url, key, found in _parsed(batches, bounds):
+            packed = _packed(found)
+            yield pid, True, page_id, url, *key, packed
+            for other in wanted.get(key, ()):
+                yield other, False, None, None, *key, packed
+
+    return lambda batches: _batches(rows(batches), names, types, [8])
+
+
+def _groups(rows: Iterable[tuple]) -> Iterator[Group]:
+    held = None
+    for _, own, page_id, url, host, path, packed in rows:
+        found = _unpacked(packed)
+        body, here = [x for x in found if not x.framed], Near(path, [x.text for x in found])
+        if held is None or held.host != host or held.body != body:
+            if held is not None:
+                yield held
+            held = Group(host, body, here, here)
+        held.last = here
+        if own:
             held.members.append((page_id, url, path))
     if held is not None:
         yield held
@@ -244,88 +348,30 @@ def _batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType],
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
 
 
-def _extracting(id_type: pa.DataType):
-    """Texts of a partition's pages; those of its first (side 0) and last (1) group stay open.
-
-    An open group is a row without id that holds what its neighbours need of it, and a
-    row without text for each of its pages.
-    """
-    names = ["pid", "side", "id", "url", "path", "text", "group"]
-    types = [pa.int32(), pa.int32(), id_type, pa.string(), pa.string(), pa.string(), pa.string()]
-
+def _extracting(id_type: pa.DataType) -> Callable:
     def on_host(x: Group | None, here: Group) -> bool:
         return x is not None and x.host == here.host != ""
 
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        pid = TaskContext.get().partitionId()
+    def texts(rows: Iterable[tuple]) -> Iterator[tuple]:
         before = here = None
-        for after in _then_none(_groups(batches)):
+        for after in _then_none(_groups(rows)):
             if here is not None:
                 near = [before.last if on_host(before, here) else None, after.first if on_host(after, here) else None]
-                if before is None or after is None:
-                    side = int(before is not None)
-                    yield pid, side, None, None, None, None, _open_group(here, near, before is None and after is None)
-                    for page in here.members:
-                        yield pid, side, *page, None, None
-                else:
-                    made: dict[int, str] = {}
-                    for page in here.members:
-                        k = _nearest(page[2], *(x and x.path for x in near))
-                        if k not in made:
-                            made[k] = main_text(here.body, near[k].texts if k >= 0 else None)
-                        yield pid, None, *page[:2], None, made[k], None
+                made: dict[int, str] = {}
+                for page_id, url, path in here.members:
+                    k = _nearest(path, *(x and x.path for x in near))
+                    if k not in made:
+                        made[k] = main_text(here.body, near[k].texts if k >= 0 else None)
+                    yield page_id, url, made[k]
             before, here = here, after
 
-    return lambda batches: _batches(texts(batches), names, types, [5, 6])
-
-
-def _open_group(here: Group, near: list[Near | None], whole: bool) -> str:
-    body = [(x.text, x.article) for x in here.body]
-    return json.dumps(
-        {
-            "host": here.host,
-            "digest": hashlib.sha256(json.dumps(body).encode()).hexdigest(),
-            "whole": whole,
-            "body": body,
-            "first": vars(here.first),
-            "last": vars(here.last),
-            "near": [x and vars(x) for x in near],
-        }
-    )
-
-
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per open group the paths of its two neighbours and its text against each and against none."""
-    names = ["pid", "side", "before_path", "after_path", "before_text", "after_text", "lone_text"]
-    types = [pa.int32(), pa.int32(), *[pa.string()] * 5]
+    def partitions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for _, own in itertools.groupby(rows, lambda row: row[0]):
+            yield from texts(own)
 
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for pid, side, own, before, inside_before, after, inside_after in zip(*(c.to_pylist() for c in batch.columns)):
-                own, near = json.loads(own), []
-                for group, inside, at, end in ((before, inside_before, 0, "last"), (after, inside_after, 1, "first")):
-                    group = group and json.loads(group)
-                    if group and inside:
-                        near.append(group["near"][at])
-                    else:
-                        near.append(group[end] if group and group["host"] == own["host"] != "" else None)
-                body = [Line(text, False, article) for text, article in own["body"]]
-                texts = [x and main_text(body, x["texts"]) for x in near]
-                yield pid, side, *(x and x["path"] for x in near), *texts, main_text(body, None)
-
-    return _batches(rows(), names, types, [4, 5, 6])
-
-
-def _choosing(id_type: pa.DataType):
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for page_id, url, path, before, after, *texts in zip(*(c.to_pylist() for c in batch.columns)):
-                    yield page_id, url, texts[_nearest(path, before, after)]
-
-        return _batches(rows(), ["id", "url", "text"], [id_type, pa.string(), pa.string()], [2])
-
-    return choose
+    types = [id_type, pa.string(), pa.string()]
+    return lambda batches: _batches(partitions(batches), ["id", "url", "text"], types, [2])
 
 
 def _then_none(rows: Iterator) -> Iterator:
@@ -333,48 +379,13 @@ def _then_none(rows: Iterator) -> Iterator:
     yield None
 
 
-def _neighbours(groups: DataFrame) -> DataFrame:
-    """Each open group with those to take its neighbours from.
-
-    Groups of adjacent partitions with one body are one run. Its neighbours lie beyond
-    its ends: inside the end's partition if that has more groups, else in the next open
-    group. The window sees two short rows of each partition.
-    """
-    order = Window.orderBy("pid", "side")
-    same = F.lag("key").over(order) == F.col("key")
-    at = F.struct("pid", "side")
-    short = groups.select(
-        "pid",
-        "side",
-        F.struct(*[F.get_json_object("group", f"$.{c}").alias(c) for c in ("host", "digest")]).alias("key"),
-        (F.get_json_object("group", "$.whole") == "true").alias("whole"),
-    ).select(
-        "*",
-        F.sum(F.when((F.col("side") == 0) & same, 0).otherwise(1)).over(order).alias("run"),
-        F.lag(at).over(order).alias("prev"),
-        F.lead(at).over(order).alias("next"),
-    )
-    run = Window.partitionBy("run").orderBy("pid", "side").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = short.select(
-        "pid",
-        "side",
-        F.first(F.struct(at.alias("at"), "prev")).over(run).alias("a"),
-        F.last(F.struct(at.alias("at"), "next", "whole")).over(run).alias("b"),
-    ).select(
-        "pid",
-        "side",
-        (F.col("a.at.side") == 1).alias("inside_before"),
-        ((F.col("b.at.side") == 0) & ~F.col("b.whole")).alias("inside_after"),
-        F.when(F.col("a.at.side") == 1, F.col("a.at")).otherwise(F.col("a.prev")).alias("before_at"),
-        F.when((F.col("b.at.side") == 0) & ~F.col("b.whole"), F.col("b.at")).otherwise(F.col("b.next")).alias("after_at"),
-    )
-    held = groups.select(at.alias("at"), "group")
-    return (
-        groups.join(placed, ["pid", "side"])
-        .join(held.select(F.col("at").alias("before_at"), F.col("group").alias("before")), "before_at", "left")
-        .join(held.select(F.col("at").alias("after_at"), F.col("group").alias("after")), "after_at", "left")
-        .select("pid", "side", "group", "before", "inside_before", "after", "inside_after")
-    )
+def _bounds(keys: DataFrame, total: int, n: int) -> list[tuple]:
+    """Where partitions of about equal numbers of rows begin, from a sample of bounded size."""
+    if n == 1:
+        return []
+    wanted = min(n * SAMPLED_KEYS[0], SAMPLED_KEYS[1])
+    sample = sorted(tuple(r) for r in keys.sample(min(1.0, wanted / total), seed=1).collect())
+    return sorted({sample[k * len(sample) // n] for k in range(1, n)}) if sample else []
 
 
 def extract_text(
@@ -387,7 +398,8 @@ def extract_text(
     Other columns are not read, and no rows give no rows. The result does not depend on
     the partitioning.
     """
-    kind = pages.schema[id_col].dataType
+    id_type = to_arrow_type(pages.schema[id_col].dataType)
+    kind = pages.schema[id_col].dataType.simpleString()
     url = F.coalesce(F.col(url_col), F.lit(""))
     parts = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
     rows = pages.select(
@@ -395,25 +407,23 @@ def extract_text(
         F.col(url_col).alias("url"),
         F.lower(F.regexp_extract(url, parts, 1)).alias("host"),
         F.regexp_extract(url, parts, 2).alias("path"),
+        F.xxhash64(id_col, url_col).alias("print"),
         F.col(html_col).alias("html"),
-        F.xxhash64(url_col, html_col).alias("print"),
-    )
-    order = ["host", "path", "id", "print"]
-    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("print")
-    schema = f"pid int, side int, id {kind.simpleString()}, url string, path string, text string, group string"
-    made = settle(sorted_.mapInArrow(_extracting(to_arrow_type(kind)), schema), "pages")
-    groups = made.where("group IS NOT NULL").select("pid", "side", "group")
-    closed = _neighbours(groups).mapInArrow(
-        _close,
-        "pid int, side int, before_path string, after_path string, before_text string, after_text string, lone_text string",
-    )
-    members = made.where("side IS NOT NULL AND group IS NULL").join(closed, ["pid", "side"])
-    late = members.select(
-        "id", "url", "path", "before_path", "after_path", "before_text", "after_text", "lone_text"
-    ).mapInArrow(_choosing(to_arrow_type(kind)), f"id {kind.simpleString()}, url string, text string")
-    return (
-        made.where("side IS NULL")
-        .select("id", "url", "text")
-        .unionByName(late)
-        .select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
     )
+    total = pages.count()
+    n = min(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_PAGES + 1)
+    bounds = _bounds(rows.select("host", "path", "print"), total, n)
+    order = ["pid", "host", "path", "print", "mark"]
+    key = "host string, path string, print long, mark long"
+    wanted = {}
+    if n > 1:
+        sketches = rows.mapInArrow(_sketching(bounds), f"pid int, {key}, digest binary")
+        group = f"array<struct<first struct<{key}>, last struct<{key}>, digest binary>>"
+        edges = sketches.repartitionById(n, "pid").sortWithinPartitions(*order)
+        # A row of at most four keys for each partition.
+        partitions = edges.mapInArrow(_edges, f"pid int, head {group}, tail {group}").collect()
+        wanted = _handed_over(sorted(partitions, key=lambda p: p.pid))
+    dealt = rows.mapInArrow(_dealing(bounds, wanted, id_type), f"pid int, own boolean, id {kind}, url string, {key}, lines string")
+    sorted_ = dealt.repartitionById(n, "pid").sortWithinPartitions(*order).drop("print", "mark")
+    texts = sorted_.mapInArrow(_extracting(id_type), f"id {kind}, url string, text string")
+    return texts.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
