@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waypost import bbox_cost, bbox_filter, bbox_validate, default_regions, haversine_km, nearest_k, nearest_within, tag_regions
+from waypost.operators import nearest
 from waypost.schemas import REGIONS
 
 
@@ -181,3 +182,16 @@ def test_k_nearest_of_few_or_none(spark):
     ask = lambda right: nearest_k(lf, right, ("la", "lo"), ("la", "lo"), "code", {"code": "c"}, ["id"], k=5).collect()
     assert {(r.rank, r.c) for r in ask(rf)} == {(1, "b"), (2, "a")}
     assert ask(rf.where("false")) == []
+
+
+def test_copies_at_one_location_share_a_search_and_k_points(spark, monkeypatch):
+    """Only k points of a location can count, and rows at one location are looked up once."""
+    seen = []
+    plain = nearest._within
+    monkeypatch.setattr(nearest, "_within", lambda rows, points, *a: seen.append((rows.count(), points.count())) or plain(rows, points, *a))
+    lf = spark.range(300).selectExpr("id", "50.0 + id % 3 AS la", "5.0 AS lo")
+    rf = spark.range(200).selectExpr("format_string('p%03d', id) AS code", "50.0 + id % 2 AS la", "5.1 AS lo")
+    got = nearest_k(lf, rf, ("la", "lo"), ("la", "lo"), "code", {"code": "c"}, ["id"], k=2).collect()
+    near = {0: ["p000", "p002"], 1: ["p001", "p003"], 2: ["p001", "p003"]}
+    assert sorted((r.id, r["rank"], r.c) for r in got) == [(i, n + 1, near[i % 3][n]) for i in range(300) for n in range(2)]
+    assert max(n for n, _ in seen) == 3 and max(n for _, n in seen) == 4

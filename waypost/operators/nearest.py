@@ -173,24 +173,31 @@ def nearest_k(
     ``right_key``, which identifies a right row as ``left_key`` does a left one. Rows
     without a position, and left rows without a match, are in no row.
 
+    Of points at one location only the ``k`` smallest keys can count, and left rows at one
+    location share a search, so the search runs over distinct locations of either side.
     Candidates come from the grid as in ``nearest_within``; a task passes on no more than
-    ``k`` of a left row to the shuffle. Without ``km`` the search starts at ``first_km``,
-    and left rows with fewer than ``k`` matches go on with a ring ``RING`` times as wide,
-    until it spans the sphere. Each round sees only the rows that are still open.
+    ``k`` of a location to the shuffle. Without ``km`` the search starts at ``first_km``,
+    and locations with fewer than ``k`` matches go on with a ring ``RING`` times as wide,
+    until it spans the sphere. Each round sees only the locations that are still open.
     """
-    keys = list(left_key)
+    keys, spot = list(left_key), ["_left_lat", "_left_lon"]
+    at_one_place = Window.partitionBy("_lat", "_lon").orderBy(f"_right.{right_key}")
     points = settle(
         right.where(F.col(right_point[0]).isNotNull() & F.col(right_point[1]).isNotNull())
-        .select(F.col(right_point[0]).alias("_lat"), F.col(right_point[1]).alias("_lon"), F.struct(right_key, *[c for c in take if c != right_key]).alias("_right")),
+        .select(F.col(right_point[0]).alias("_lat"), F.col(right_point[1]).alias("_lon"), F.struct(right_key, *[c for c in take if c != right_key]).alias("_right"))
+        .withColumn("_rank", F.row_number().over(at_one_place))
+        .where(F.col("_rank") <= k)
+        .drop("_rank"),
         "points",
     )
-    open_ = left.where(F.col(left_point[0]).isNotNull() & F.col(left_point[1]).isNotNull()).select(
+    placed = left.where(F.col(left_point[0]).isNotNull() & F.col(left_point[1]).isNotNull()).select(
         *keys, F.col(left_point[0]).alias("_left_lat"), F.col(left_point[1]).alias("_left_lon")
     )
-    by_distance = Window.partitionBy(*keys).orderBy("_km", f"_right.{right_key}")
+    open_ = settle(placed.select(*spot).distinct(), "open")
+    by_distance = Window.partitionBy(*spot).orderBy("_km", f"_right.{right_key}")
 
     def found(rows: DataFrame, reach: float) -> DataFrame:
-        met = _within(rows, points, keys, reach, radius_km, cell_rows)
+        met = _within(rows, points, spot, reach, radius_km, cell_rows)
         return met.withColumn("_rank", F.row_number().over(by_distance)).where(F.col("_rank") <= k)
 
     if km is not None:
@@ -198,21 +205,20 @@ def nearest_k(
     else:
         wanted = min(k, points.count())
         span, reach, done = math.pi * radius_km, first_km, None
-        open_ = settle(open_, "open")
         while True:
             last = reach >= span
             matched = settle(found(open_, reach), "matched")
-            full = matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= wanted).select(*keys)
-            part = matched if last else matched.join(full, keys, "left_semi")
+            full = matched.groupBy(*spot).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= wanted).select(*spot)
+            part = matched if last else matched.join(full, spot, "left_semi")
             done = part if done is None else done.unionByName(part)
             if last or not wanted:
                 break
-            rest = settle(open_.join(full, keys, "left_anti"), "open")
+            rest = settle(open_.join(full, spot, "left_anti"), "open")
             release(open_)
             open_ = rest
             if open_.isEmpty():
                 break
             reach *= RING
-    return done.select(
+    return placed.join(done, spot).select(
         *keys, *[F.col(f"_right.{c}").alias(a) for c, a in take.items()], F.col("_rank").alias(rank), F.col("_km").alias(distance)
     )
