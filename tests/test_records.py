@@ -8,7 +8,7 @@ from waypost import (
     decode_vectors, field_drift, percentile_by_index, profile, ratio_verdict, read_airports,
     read_ndjson, read_polls, schemas, split_valid, time_shift, to_records, validate,
 )
-from waypost.sources.polls import read_envelopes, to_bronze
+from waypost.sources.polls import read_envelopes, to_bronze, with_fields
 
 RECORD = {
     c: (int(BASE[c].timestamp()) if c in schemas.EPOCH_COLUMNS else BASE[c])
@@ -240,3 +240,9 @@ def test_text_sources(spark, tmp_path):
     (tmp_path / "b.csv").write_text(header.replace("iata", "code") + "EGLL,LHR,Heathrow,UK,51.47,-0.46,25\n")
     with pytest.raises(Exception):
         read_airports(spark, str(tmp_path / "b.csv")).collect()
+
+
+def test_a_vector_is_parsed_once_however_many_rules_look_at_it(spark):
+    polls = with_fields(spark.range(3).selectExpr("'f' AS file", "id AS poll_time", "0 AS pos", "concat('[', id, ']') AS raw"))
+    plan = decode_vectors(polls)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType(StringType") == 1 and plan.count("raw") < 20

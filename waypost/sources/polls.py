@@ -56,7 +56,16 @@ def state_rows(envelopes: DataFrame) -> DataFrame:
 
 def with_fields(states: DataFrame) -> DataFrame:
     """Adds ``v``, the elements of the vector ``raw`` as text."""
-    return states.withColumn("v", F.from_json("raw", "array<string>"))
+    return _once(states, F.from_json("raw", "array<string>").alias("v"))
+
+
+def _once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row.
+
+    Exploded from a one-element array: a filter on a projected column would be pushed
+    down as a copy of its whole expression, and each rule in it would parse the text again.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
 def _typed_vector() -> str:
@@ -88,11 +97,10 @@ _JSON_TYPES = {
 }
 
 
-def _decoded(field: str, kind: str, required: bool, at: int) -> Column:
-    text = F.get(F.col("v"), F.lit(at))
-    value = text if kind == "string" else text.try_cast(kind)
+def _decoded(field: str, kind: str, required: bool) -> Column:
+    value = F.col(f"_read.{field}")
     if required:
-        value = F.when(text.isNull(), F.lit(_ZERO[kind]).cast(kind)).otherwise(value)
+        value = F.when(value.isNull(), F.lit(_ZERO[kind]).cast(kind)).otherwise(value)
     return value.alias(field)
 
 
@@ -107,30 +115,42 @@ def decode_vectors(polls: DataFrame) -> tuple[DataFrame, DataFrame]:
     does not match have their elements' types looked at one by one.
     """
     wire = [(n, k, r, i) for i, (n, k, r) in enumerate(schemas.VECTOR_FIELDS) if n != "sensors"]
-    kinds = F.when(
-        ~F.col("raw").rlike(_typed_vector()),
-        F.transform(F.from_json("raw", "array<variant>"), F.schema_of_variant),
-    )
+
+    def text(at: int) -> Column:
+        return F.get(F.col("v"), F.lit(at))
+
+    def unread(name: str, at: int) -> Column:
+        return text(at).isNotNull() & F.col(f"_read.{name}").isNull()
 
     def misread(name: str, kind: str, at: int) -> Column:
-        text, found = F.get(F.col("v"), F.lit(at)), F.get(F.col("_kinds"), F.lit(at))
+        found = F.get(F.col("_kinds"), F.lit(at))
         wrong = F.coalesce(~found.rlike(f"^(?:{_JSON_TYPES[kind]})$"), F.lit(False))
         if kind != "string":
-            wrong = wrong | (text.isNotNull() & text.try_cast(kind).isNull())
+            wrong = wrong | unread(name, at)
         return F.when(wrong, F.lit(f"{name}: not a {kind}"))
 
+    read = _once(
+        polls,
+        F.struct(*[(text(i) if kind == "string" else text(i).try_cast(kind)).alias(name) for name, kind, _, i in wire]).alias("_read"),
+        F.col("raw").rlike(_typed_vector()).alias("_plain"),
+    )
+    kinds = F.when(~F.col("_plain"), F.transform(F.from_json("raw", "array<variant>"), F.schema_of_variant))
     fields = F.coalesce(F.size("v"), F.lit(0))
     short = F.when(
         fields < schemas.MIN_VECTOR_FIELDS, F.concat(F.greatest(fields, F.lit(0)).cast("string"), F.lit(" fields"))
     )
-    judged = polls.withColumn("_kinds", kinds).withColumn(
-        "reason", F.coalesce(short, *[misread(name, kind, i) for name, kind, _, i in wire])
-    )
+    fine = F.coalesce(F.col("_plain") & (fields >= schemas.MIN_VECTOR_FIELDS), F.lit(False))
+    for name, kind, _, i in wire:
+        if kind != "string":
+            fine = fine & ~unread(name, i)
+    # Within a lambda the rules are interpreted: compiled with the rest of the stage they make a
+    # method too large for the JVM's compiler. Only vectors that fail the short test need them.
+    rules = F.coalesce(short, *[misread(name, kind, i) for name, kind, _, i in wire])
+    found = F.get(F.transform(F.array(F.lit(0)), lambda _: rules), F.lit(0))
+    judged = _once(_once(read, kinds.alias("_kinds")), F.when(fine, None).otherwise(found).alias("reason"))
     keep = [c for c in polls.columns if c not in ("v", "raw")]
-    good = judged.where(F.col("reason").isNull()).select(
-        *keep, *[_decoded(*field) for field in wire]
-    )
-    return good, judged.where(F.col("reason").isNotNull()).drop("_kinds")
+    good = judged.where(F.col("reason").isNull()).select(*keep, *[_decoded(n, k, r) for n, k, r, _ in wire])
+    return good, judged.where(F.col("reason").isNotNull()).select(*polls.columns, "reason")
 
 
 def time_shift(vectors: DataFrame, anchor: int) -> DataFrame:
