@@ -294,3 +294,15 @@ def test_a_stream_cannot_look_ahead(spark, tmp_path):
     silver = state_vectors(bronze(spark, BASE))
     with pytest.raises(ValueError):
         advance(silver, spark.createDataFrame([], STATE), Params(boundary="last_ground_row"))
+
+
+def test_traffic_of_a_batch_is_not_computed_in_one_task(spark, tmp_path, monkeypatch):
+    rows = bronze(spark, {"t": 0}, {"t": 9}, {"t": 4000})
+    narrowed, kind = [], type(rows)
+    plain = kind.coalesce
+    monkeypatch.setattr(kind, "coalesce", lambda df, n: narrowed.append(df.columns) or plain(df, n))
+    number_batch(rows, str(tmp_path), 0)
+    hours = rows.selectExpr("to_date(observed_at) AS date", "hour(observed_at) AS hour")
+    rebuild_traffic(spark, str(tmp_path), hours, 0)
+    assert not any("traffic_hour" in columns for columns in narrowed)
+    assert sorted(r.observations for r in read_traffic(spark, str(tmp_path)).collect()) == [1, 2]

@@ -38,7 +38,9 @@ def rebuild_traffic(spark: SparkSession, path: str, hours: DataFrame, batch_id:
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         (
-            rows.coalesce(1)  # a row per region
+            # A row per hour and region: few files. The rebalance shuffles the finished rows;
+            # a coalesce would compute all of them in one task.
+            rows.hint("rebalance", *HOUR)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*HOUR)

@@ -181,7 +181,7 @@ def number_batch(arrived: DataFrame, path: str, batch_id: int, params: Params =
         write_run(sessions.hint("rebalance", "bucket"), f"{path}/sessions", batch_id, batch_id, ["bucket"])
         first = state.select("icao24", F.col("last_session").alias("from_session"))
         marks = touched.select("icao24", "since", "late", number).join(first, "icao24", "left")
-        write_run(marks.select(*MARK.fieldNames()).coalesce(1), f"{path}/marks", batch_id, batch_id)
+        write_run(marks.select(*MARK.fieldNames()).hint("rebalance"), f"{path}/marks", batch_id, batch_id)
         # Aircraft without new rows keep their state; one that lost all its rows has none.
         now = touched.select("icao24").join(state, "icao24", "left").unionByName(left_in(sessions))
         write_run(latest_per_key(now, ["icao24"], ["last_ts"]).select("*", number), f"{path}/state", batch_id, batch_id)
