@@ -58,3 +58,8 @@ def test_a_pass_over_bronze_reads_three_columns_and_combines_first(spark, tmp_pa
     plan = P.observation_partials(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<icao24:string,observed_at:timestamp,region:string>" in plan
     assert "partial_bitmap_construct_agg" in plan and plan.count("Exchange") == 1
+
+
+def test_narrow_rows_are_shuffled_and_no_bitmaps(spark):
+    plan = P.observation_partials(bronze(spark, *FIRST))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange")

@@ -31,6 +31,15 @@ PARTIALS = T.StructType(
 _HOUR_BYTES = 450
 
 
+#: Rows with bitmaps that a task merges, as they are sorted. Sizes of shuffles do not tell:
+#: most bitmaps are nearly empty and shrink to a tenth or less.
+TASK_ROWS = 100_000
+
+
+def _dealt(partials: DataFrame, *keys: str) -> DataFrame:
+    return partials.repartition(max(1, -(-partials.count() // TASK_ROWS)), *keys)
+
+
 def _trimmed(bitmap):
     return F.substring(bitmap, 1, _HOUR_BYTES)
 
@@ -40,10 +49,15 @@ def observation_partials(bronze: DataFrame) -> DataFrame:
 
     A null region is a group of its own. ``icao24`` and ``observed_at`` are never null in
     bronze; a row without a time would be counted as a copy only. No rows give no rows.
+
+    The narrow rows are shuffled, not bitmaps: while they are built those take 4 KB each,
+    and few copies share one.
     """
     second = F.minute("observed_at") * 60 + F.second("observed_at")
     return (
-        bronze.groupBy("icao24", F.date_trunc("hour", "observed_at").alias("hour"), "region")
+        bronze.select("icao24", F.date_trunc("hour", "observed_at").alias("hour"), "region", "observed_at")
+        .repartition(*KEYS)
+        .groupBy(*KEYS)
         .agg(
             F.count(F.lit(1)).alias("copies"),
             F.max("observed_at").alias("last_seen"),
@@ -56,7 +70,8 @@ def observation_partials(bronze: DataFrame) -> DataFrame:
 def merge_partials(partials: DataFrame) -> DataFrame:
     """One row per aircraft, hour and region again."""
     return (
-        partials.groupBy(*KEYS)
+        _dealt(partials, *KEYS)
+        .groupBy(*KEYS)
         .agg(
             F.sum("copies").alias("copies"),
             F.max("last_seen").alias("last_seen"),
@@ -81,23 +96,25 @@ def read_partials(spark: SparkSession, path: str) -> DataFrame:
 
 def _by_hour(partials: DataFrame) -> DataFrame:
     """Regions joined: an observation polled for two of them is one."""
-    return partials.groupBy("icao24", "hour").agg(
+    return _dealt(partials, "icao24", "hour").groupBy("icao24", "hour").agg(
         F.sum("copies").alias("copies"),
         F.max("last_seen").alias("last_seen"),
         F.bitmap_count(F.bitmap_or_agg("seen")).alias("observations"),
-        F.collect_set("region").alias("regions"),
     )
 
 
 def headline(partials: DataFrame) -> DataFrame:
-    """Rows, observations, aircraft, the newest observation and the regions; one row."""
+    """Rows, observations, aircraft, the newest observation and the regions; one row.
+
+    ``partials`` is read twice; pass a written table.
+    """
+    regions = partials.agg(F.sort_array(F.collect_set("region"))).scalar()
     return _by_hour(partials).agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.coalesce(F.sum("observations"), F.lit(0)).alias("distinct_observations"),
         F.count_distinct("icao24").alias("distinct_aircraft"),
         F.max("last_seen").alias("latest_observation"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("regions")))).alias("regions"),
-    )
+    ).withColumn("regions", regions)
 
 
 def hour_stats(partials: DataFrame) -> DataFrame:
