@@ -306,3 +306,16 @@ def test_traffic_of_a_batch_is_not_computed_in_one_task(spark, tmp_path, monkeyp
     rebuild_traffic(spark, str(tmp_path), hours, 0)
     assert not any("traffic_hour" in columns for columns in narrowed)
     assert sorted(r.observations for r in read_traffic(spark, str(tmp_path)).collect()) == [1, 2]
+
+
+def test_landed_files_grow_in_number_and_not_in_size(spark, monkeypatch):
+    """More events give more files, and more of them to a batch: batches stay as many."""
+    from waypost.catalog import streams
+
+    seen = []
+    plain = streams.stream_ndjson
+    monkeypatch.setattr(streams, "stream_ndjson", lambda s, path, n: seen.append((len(s.read.text(path).inputFiles()), n)) or plain(s, path, n))
+    monkeypatch.setattr(streams, "FILE_EVENTS", 10)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert streams.str_bounded(spark, "/root/testdata/sf0.001").first().batches == 1
+    assert seen[0][0] >= events // 10

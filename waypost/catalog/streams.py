@@ -24,9 +24,19 @@ from waypost.workspace import fresh_path, settle
 VEC, REC, SILVER = S.VEC_SQL, S.REC_SQL, S.SILVER_SQL
 
 
+#: Most events whose messages are landed in one file.
+FILE_EVENTS = 100_000
+
+
 def _ingest(spark, sf, corrupt: bool, files: int, per_trigger: int | None) -> IngestPaths:
-    """Land the messages as text files, then stream them into bronze."""
+    """Land the messages as text files, then stream them into bronze.
+
+    There are ``files`` times as many files, and ``per_trigger`` times as many to a batch,
+    as keep a file small however many events there are; the batches stay as many.
+    """
     landing, root = fresh_path(spark, "landing"), fresh_path(spark, "ingest")
+    times = -(-S.table(spark, sf, "events").count() // (files * FILE_EVENTS)) or 1
+    files, per_trigger = files * times, per_trigger and per_trigger * times
     S.messages(spark, sf, corrupt).select("value").repartition(files).write.text(landing)
     paths = IngestPaths(
         bronze=f"{root}/bronze", quarantine=f"{root}/quarantine", metrics=f"{root}/metrics",
