@@ -236,23 +236,25 @@ def split_valid(validated: DataFrame, value_col: str = "value") -> tuple[DataFra
 
 def field_drift(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Field names a producer adds or leaves out, with the number of messages."""
-    keys = F.json_object_keys(F.col(value_col))
+    # Messages with one list of names count as one row from here on; each is parsed once.
+    lists = raw.groupBy(F.json_object_keys(F.col(value_col)).alias("keys")).agg(F.count(F.lit(1)).alias("n"))
     expected = F.array(*[F.lit(c) for c in RECORD_COLUMNS])
-    found = raw.select(
+    found = lists.select(
+        "n",
         F.explode(
             F.concat(
                 F.transform(
-                    F.array_except(keys, expected),
+                    F.array_except("keys", expected),
                     lambda k: F.struct(k.alias("field"), F.lit("unexpected").alias("drift")),
                 ),
                 F.transform(
-                    F.array_except(expected, keys),
+                    F.array_except(expected, "keys"),
                     lambda k: F.struct(k.alias("field"), F.lit("missing").alias("drift")),
                 ),
             )
-        ).alias("d")
+        ).alias("d"),
     )
-    return found.groupBy("d.field", "d.drift").agg(F.count(F.lit(1)).alias("messages"))
+    return found.groupBy("d.field", "d.drift").agg(F.sum("n").alias("messages"))
 
 
 def ratio_verdict(
