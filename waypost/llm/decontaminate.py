@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from waypost.llm.batches import in_slices
 from waypost.llm.shingles import sequence_prints, word_prints, words
 from waypost.workspace import release, settle
 
@@ -152,7 +153,7 @@ def find_leaks(
         held = texts if n_blocks == 1 else texts.filter(block == k)
         # A block's texts are about ``block_bytes``; that much goes through the driver.
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in held.collect()], n, share))
-        part = source.mapInArrow(_searching(index, to_arrow_type(kind), pa.string()), schema)
+        part = source.mapInArrow(in_slices(_searching(index, to_arrow_type(kind), pa.string())), schema)
         if n_blocks > 1:
             part = settle(part, "leaks")
             index.destroy()

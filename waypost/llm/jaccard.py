@@ -33,12 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waypost.llm.batches import in_slices
 from waypost.llm.components import components
 from waypost.llm.shingles import mix, shingle_set
 from waypost.workspace import release, settle
 
 #: Keys in a block, and in a map task's memory before they are sent.
 BLOCK_KEYS = 1_000_000
+SENT_KEYS = 400_000
 
 #: N-grams of the rows in a tile of a family, and of the small families in a task.
 TILE_GRAMS = 500_000
@@ -178,7 +180,7 @@ def _sending(n: int, share: tuple[int, int], n_blocks: int):
                     keys.append(found)
                     owners.append(high)
                     held += len(found)
-                if held > BLOCK_KEYS or len(docs) > 200_000:
+                if held > SENT_KEYS or len(docs) > 200_000:
                     yield flush(docs, keys, owners)
                     docs, keys, owners, held = [], [], [], 0
                     seen.clear()
@@ -340,7 +342,7 @@ def jaccard_components(
     source = named.filter("id IS NOT NULL")
     n_bytes = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = int(n_bytes * KEYS_PER_BYTE) // BLOCK_KEYS + 1
-    sent = source.mapInArrow(_sending(n, share, n_blocks), _SENT)
+    sent = source.mapInArrow(in_slices(_sending(n, share, n_blocks)), _SENT)
     met = settle(sent.groupBy("block").applyInArrow(_meet, _MET), "keys-met")
     rows = met.filter("pivot IS NULL").drop("pivot")
     links = met.filter("pivot IS NOT NULL").groupBy("cls", "pivot").agg(F.sum("shared").alias("keys"))
@@ -376,7 +378,7 @@ def jaccard_components(
     release(families)
     release(enough)
     # Texts are shuffled for members only, and the few that the bitmap takes for members.
-    sets = settle(_likely(source, members).join(members, "id").mapInArrow(_gathering(n), _SETS), "sets")
+    sets = settle(_likely(source, members).join(members, "id").mapInArrow(in_slices(_gathering(n)), _SETS), "sets")
     release(members)
     # Written, so that the join's hot families can be split.
     tiles = settle(
@@ -396,7 +398,10 @@ def jaccard_components(
         "grams",
     )
     links = dealt.groupBy("task", "cut", "i", "j").applyInArrow(_multiplying(share), "u long, v long")
+    # Written, as a second function in the product's stage takes a second Python worker for each task.
+    links = settle(links, "product-links")
     roots = settle(components(links), "roots")
+    release(links)
     release(sets)
     release(tiles)
     found = classes.join(roots.toDF("id", "root"), "id", "left").select(

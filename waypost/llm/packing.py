@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waypost.llm.batches import in_slices
 from waypost.llm.tokenizing import encoder
 
 #: Longest sequence, a power of two.
@@ -94,7 +95,7 @@ def pack_documents(
     from pyspark.sql.pandas.types import to_arrow_type
 
     made = source.mapInArrow(
-        _packing(tokenizer, longest, end_id, to_arrow_type(kind)),
+        in_slices(_packing(tokenizer, longest, end_id, to_arrow_type(kind))),
         f"id {kind.simpleString()}, start long, length long, ids binary, doc_tokens long",
     )
     return made.select(

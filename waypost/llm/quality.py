@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from waypost.llm.batches import in_slices
 from waypost.llm.shingles import mix
 
 #: Most labelled rows that are learnt from; which ones, their ids' hashes decide.
@@ -184,4 +185,4 @@ def keep_good(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataF
             kept = [held.value.score(t or "") >= GOOD for t in batch.column(column).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.mapInArrow(in_slices(good), docs.schema)
