@@ -18,13 +18,16 @@ all pairs are X times its transpose. Sizes keep that product small:
   returns a forest, since only reachability is asked for.
 
 Keys and sets travel as packed arrays in blocks of bounded size. A key that many rows
-of a map task have leaves it once.
+of a map task have leaves it once. Until sets are compared, keys and rows go by the first
+bits of their prints: what coincides by that is compared for nothing, never left out.
+Sets are gathered and multiplied in rounds that each hold a share of the texts' size.
 """
 
 from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from waypost.llm.batches import in_slices
 from waypost.llm.components import components
 from waypost.llm.shingles import mix, shingle_set
-from waypost.workspace import release, settle
+from waypost.workspace import release, settle, sweep
 
 #: Keys in a block, and in a map task's memory before they are sent.
 BLOCK_KEYS = 1_000_000
@@ -45,7 +48,14 @@ SENT_KEYS = 400_000
 #: N-grams of the rows in a tile of a family, and of the small families in a task.
 TILE_GRAMS = 500_000
 
-#: Words of 64 bits in the bitmap of member ids that is broadcast.
+#: N-grams that a round gathers, and deals to tasks at once: for each byte of text, and at least.
+ROUND_SHARE = 1 / 40
+ROUND_GRAMS = 10_000_000
+
+#: Bytes of a key's print that are sent.
+KEY_BYTES = 6
+
+#: Words of 64 bits in a bitmap of ids that is broadcast.
 FILTER_WORDS = 1 << 18
 
 #: Most classes of equal sets whose results are broadcast.
@@ -114,6 +124,27 @@ def set_prints(grams: np.ndarray) -> tuple[int, int]:
     return high - (1 << 63), low - (1 << 63)
 
 
+def _codes(prints: np.ndarray) -> np.ndarray:
+    """What rows go by in links: 32 bits of their set's print, as signed integers."""
+    return ((prints & 0xFFFFFFFF) - (1 << 31)).astype(np.int32)
+
+
+#: The same in Spark.
+_CODE = "cast((cls & 4294967295L) - 2147483648L as int)"
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """The first bytes of sorted keys, each byte by itself: the first of them hardly change."""
+    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].T).tobytes()
+
+
+def _unpacked(sent: bytes) -> np.ndarray:
+    planes = np.frombuffer(sent, np.uint8).reshape(KEY_BYTES, -1)
+    keys = np.zeros((planes.shape[1], 8), np.uint8)
+    keys[:, :KEY_BYTES] = planes.T
+    return keys.view(">u8").ravel().astype(np.uint64)
+
+
 def _counted_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct pairs with the sum of ``n``."""
     order = np.lexsort((b, a))
@@ -125,13 +156,18 @@ def _counted_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndar
 
 
 def _stars(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys with their smallest owner, and links from other owners to it with their keys' number."""
+    """Distinct keys with their smallest owner, and links from other owners to it with their keys' number.
+
+    An owner that is there several times with a key counts once.
+    """
     if not len(keys):
         return keys, owners, owners, owners, owners
-    order = np.argsort(keys, kind="stable")
+    order = np.lexsort((owners, keys))
     keys, owners = keys[order], owners[order]
+    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])))
+    keys, owners = keys[new], owners[new]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    low = np.minimum.reduceat(owners, first)
+    low = owners[first]
     lows = np.repeat(low, np.diff(np.append(first, len(keys))))
     other = owners != lows
     ones = np.ones(int(other.sum()), np.int64)
@@ -153,7 +189,7 @@ def _sending(n: int, share: tuple[int, int], n_blocks: int):
         any_block = int(columns[0][0] % n_blocks)
         out = [(any_block, _DOCS, *(c.tobytes() for c in columns))]
         if keys:
-            owner = np.repeat(np.array(owners, np.int64), [len(k) for k in keys])
+            owner = np.repeat(_codes(np.array(owners, np.int64)), [len(k) for k in keys])
             key, low, a, b, n = _stars(np.concatenate(keys), owner)
             if len(a):
                 out.append((any_block, _LINKS, a.tobytes(), b.tobytes(), n.tobytes(), None, None))
@@ -162,7 +198,7 @@ def _sending(n: int, share: tuple[int, int], n_blocks: int):
             for k in range(n_blocks):
                 s, e = edges[k], edges[k + 1]
                 if s < e:
-                    out.append((k, _KEYS, key[s:e].tobytes(), low[s:e].tobytes(), None, None, None))
+                    out.append((k, _KEYS, _packed(key[s:e]), low[s:e].tobytes(), None, None, None))
         return rows(out)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,33 +226,36 @@ def _sending(n: int, share: tuple[int, int], n_blocks: int):
     return send
 
 
-_MET = "id long, n_shingles long, cls long, chk long, shared long, pivot long"
+_MET = "id long, n_shingles long, cls long, chk long, shared long, code int, pivot int"
 
 
 def _meet(sent: pa.Table) -> pa.Table:
-    """The documents of a block as rows, and the links its keys make.
+    """The documents of a block as rows, and the links its keys make between codes.
 
     ``shared`` is how many keys a document must share, or how many a link stands for.
     """
 
+    def held(kind: int, column: str) -> list[bytes]:
+        return sent.filter(pc.equal(sent["kind"], kind))[column].to_pylist()
+
     def joined(kind: int, column: str, dtype) -> np.ndarray:
-        held = sent.filter(pc.equal(sent["kind"], kind))[column]
-        return np.frombuffer(b"".join(held.to_pylist()), dtype)
+        return np.frombuffer(b"".join(held(kind, column)), dtype)
 
     ids, sizes, prints, checks, shared = (joined(_DOCS, c, np.int64) for c in "abcde")
-    a, b, n = (joined(_LINKS, c, np.int64) for c in "abc")
-    keys = joined(_KEYS, "a", np.uint64)
-    if len(keys):
-        _, _, *more = _stars(keys, joined(_KEYS, "b", np.int64))
+    a, b, n = (joined(_LINKS, c, t) for c, t in (("a", np.int32), ("b", np.int32), ("c", np.int64)))
+    packed = held(_KEYS, "a")
+    if packed:
+        _, _, *more = _stars(np.concatenate([_unpacked(x) for x in packed]), joined(_KEYS, "b", np.int32))
         a, b, n = _counted_pairs(*(np.concatenate(x) for x in zip((a, b, n), more)))
-    none = pa.nulls(len(a), pa.int64())
+    none, no_code = pa.nulls(len(a), pa.int64()), pa.nulls(len(ids), pa.int32())
     columns = [
         pa.chunked_array([pa.array(ids), none]),
         pa.chunked_array([pa.array(sizes), none]),
-        pa.chunked_array([pa.array(prints), pa.array(a)]),
+        pa.chunked_array([pa.array(prints), none]),
         pa.chunked_array([pa.array(checks), none]),
         pa.chunked_array([pa.array(shared), pa.array(n)]),
-        pa.chunked_array([pa.nulls(len(ids), pa.int64()), pa.array(b)]),
+        pa.chunked_array([no_code, pa.array(a)]),
+        pa.chunked_array([no_code, pa.array(b)]),
     ]
     return pa.table(columns, names=[x.split()[0] for x in _MET.split(", ")])
 
@@ -301,21 +340,70 @@ def _multiplying(share: tuple[int, int]):
     return multiply
 
 
+def _slotted(frame: DataFrame, id_col: str) -> DataFrame:
+    """With the place of the hashed id in a bitmap of ``FILTER_WORDS``."""
+    slot = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(FILTER_WORDS * 64).cast("bigint"))
+    bit = F.expr("shiftleft(1L, cast(_slot % 64 AS int))")
+    return frame.withColumn("_slot", slot).withColumns({"_word": F.shiftright("_slot", 6), "_bit": bit})
+
+
 def _likely(rows: DataFrame, members: DataFrame) -> DataFrame:
     """The rows whose ``id`` may be a member's: a bitmap of hashed member ids is broadcast.
 
     ``FILTER_WORDS`` bounds the bitmap. No member is lost; how few others pass depends on
     how many members there are.
     """
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS * 64).cast("bigint"))
-    bit = F.expr("shiftleft(1L, cast(_slot % 64 AS int))")
+    words = _slotted(members.select("id"), "id").groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    held = _slotted(rows, "id").join(F.broadcast(settle(words, "member-bits")), "_word")
+    return held.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
 
-    def slotted(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("_slot", slot).withColumns({"_word": F.shiftright("_slot", 6), "_bit": bit})
 
-    words = slotted(members.select("id")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    held = slotted(rows).join(F.broadcast(settle(words, "member-bits")), "_word")
-    return held.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
+def _products(source: DataFrame, members: DataFrame, n: int, share: tuple[int, int], round_grams: int) -> list[DataFrame]:
+    """Tables of links between members that are similar, a forest for each task of the product.
+
+    Families go in rounds, as the sets of all together may be several times as large as
+    the texts; a round gathers ``round_grams`` and what a family has beyond that, and
+    deals about as many to its tasks at once.
+    """
+    spark = source.sparkSession
+    grams = members.agg(F.sum("n")).first()[0] or 0
+    n_rounds = max(1, -(-grams // round_grams))
+    # Written, so that the join's hot families can be split.
+    tiles = members.groupBy("family").agg(F.sum("n").alias("grams"), F.ceil(F.sum("n") / F.lit(TILE_GRAMS)).cast("int").alias("tiles"))
+    tiles = settle(tiles.withColumn("round", F.pmod(F.xxhash64("family"), F.lit(n_rounds)).cast("int")), "tiles")
+    sums = tiles.groupBy("round").agg(F.sum("grams").alias("grams"), F.sum(F.col("grams") * F.col("tiles")).alias("dealt"))
+    out = []
+    for k, held, dealt_grams in sorted(map(tuple, sums.collect())):
+        of_round = tiles.filter(F.col("round") == k).select("family", "tiles")
+        some = members.join(of_round.select("family"), "family", "left_semi") if n_rounds > 1 else members
+        some = settle(some, "round-members")
+        # Texts are shuffled for members only, and the few that the bitmap takes for members.
+        sets = settle(_likely(source, some).join(some, "id").mapInArrow(in_slices(_gathering(n)), _SETS), "sets")
+        release(some)
+        sweep(spark)
+        n_small = int(held // TILE_GRAMS) + 1
+        n_deals = max(1, -(-dealt_grams // round_grams))
+        with_tile = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+        placed = sets.join(of_round, "family").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+        dealt = placed.withColumn("other", with_tile).select(
+            F.when(F.col("tiles") > 1, F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(n_small))).alias("task"),
+            (F.col("tiles") > 1).alias("cut"),
+            F.least("tile", "other").alias("i"),
+            F.greatest("tile", "other").alias("j"),
+            "family",
+            "tile",
+            "id",
+            "grams",
+        )
+        for deal in range(n_deals):
+            now = dealt.filter(F.pmod(F.xxhash64("task", "i", "j"), F.lit(n_deals)) == deal) if n_deals > 1 else dealt
+            links = now.groupBy("task", "cut", "i", "j").applyInArrow(_multiplying(share), "u long, v long")
+            # Written, as a second function in the product's stage takes a second Python worker for each task.
+            out.append(settle(links, "product-links"))
+            sweep(spark)
+        release(sets)
+    release(tiles)
+    return out or [source.sparkSession.createDataFrame([], "u long, v long")]
 
 
 def jaccard_components(
@@ -344,8 +432,9 @@ def jaccard_components(
     n_blocks = int(n_bytes * KEYS_PER_BYTE) // BLOCK_KEYS + 1
     sent = source.mapInArrow(in_slices(_sending(n, share, n_blocks)), _SENT)
     met = settle(sent.groupBy("block").applyInArrow(_meet, _MET), "keys-met")
-    rows = met.filter("pivot IS NULL").drop("pivot")
-    links = met.filter("pivot IS NOT NULL").groupBy("cls", "pivot").agg(F.sum("shared").alias("keys"))
+    sweep(docs.sparkSession)
+    rows = met.filter("pivot IS NULL").drop("code", "pivot")
+    links = met.filter("pivot IS NOT NULL").groupBy("code", "pivot").agg(F.sum("shared").alias("keys"))
     links = settle(links, "key-links")
 
     classes = settle(
@@ -353,63 +442,44 @@ def jaccard_components(
         .groupBy("cls", "chk")
         .agg(
             F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("shared").alias("shared"), F.count("*").alias("many")
-        ),
+        )
+        .withColumn("code", F.expr(_CODE)),
         "set-classes",
     )
     # No less than the keys a class shares: those of its links, to it and from it.
-    both = links.select("cls", "keys").union(links.select("pivot", "keys"))
+    both = links.select("code", "keys").union(links.select("pivot", "keys"))
     enough = (
-        both.groupBy("cls").agg(F.sum("keys").alias("keys")).join(classes, "cls").filter("keys >= shared").select("cls").distinct()
+        both.groupBy("code").agg(F.sum("keys").alias("keys")).join(classes, "code").filter("keys >= shared").select("code").distinct()
     )
     enough = settle(enough, "classes-with-keys")
     # A link counts if its class stays, or is where such a class' link leads to.
-    near = links.join(enough, "cls", "left_semi")
-    through = near.select(F.col("pivot").alias("cls")).union(enough).distinct()
-    families = settle(components(links.join(through, "cls", "left_semi").select("cls", "pivot")), "families")
+    near = links.join(enough, "code", "left_semi")
+    through = near.select(F.col("pivot").alias("code")).union(enough).distinct()
+    kept = links.join(through, "code", "left_semi").select(F.col("code").cast("long"), F.col("pivot").cast("long"))
+    families = settle(components(kept).select(F.col("node").cast("int"), F.col("root").cast("int")), "families")
     release(links)
 
-    # Different sets with one 64-bit print are a family too.
-    shared = classes.groupBy("cls").count().filter("count > 1").select("cls")
-    family = families.toDF("cls", "family").union(
-        shared.join(families.select(F.col("node").alias("cls")), "cls", "left_anti").select("cls", F.col("cls").alias("family"))
+    # Different sets with one code are a family too.
+    shared = classes.groupBy("code").count().filter("count > 1").select("code")
+    family = families.toDF("code", "family").union(
+        shared.join(families.select(F.col("node").alias("code")), "code", "left_anti").select("code", F.col("code").alias("family"))
     )
     stay = enough.union(shared).distinct()
-    members = settle(classes.join(family, "cls").join(stay, "cls", "left_semi"), "family-members")
+    members = settle(classes.join(family, "code").join(stay, "code", "left_semi").withColumn("family", F.col("family").cast("long")), "family-members")
     release(families)
     release(enough)
-    # Texts are shuffled for members only, and the few that the bitmap takes for members.
-    sets = settle(_likely(source, members).join(members, "id").mapInArrow(in_slices(_gathering(n)), _SETS), "sets")
-    release(members)
-    # Written, so that the join's hot families can be split.
-    tiles = settle(
-        sets.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(TILE_GRAMS)).cast("int").alias("tiles")), "tiles"
-    )
-    n_small = int((sets.agg(F.sum("n")).first()[0] or 0) // TILE_GRAMS) + 1
-    with_tile = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    placed = sets.join(tiles, "family").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    dealt = placed.withColumn("other", with_tile).select(
-        F.when(F.col("tiles") > 1, F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(n_small))).alias("task"),
-        (F.col("tiles") > 1).alias("cut"),
-        F.least("tile", "other").alias("i"),
-        F.greatest("tile", "other").alias("j"),
-        "family",
-        "tile",
-        "id",
-        "grams",
-    )
-    links = dealt.groupBy("task", "cut", "i", "j").applyInArrow(_multiplying(share), "u long, v long")
-    # Written, as a second function in the product's stage takes a second Python worker for each task.
-    links = settle(links, "product-links")
-    roots = settle(components(links), "roots")
-    release(links)
-    release(sets)
-    release(tiles)
+    sweep(docs.sparkSession)
+    links = _products(source, members, n, share, max(ROUND_GRAMS, int(n_bytes * ROUND_SHARE)))
+    roots = settle(components(reduce(DataFrame.union, links)), "roots")
+    for table in (members, *links):
+        release(table)
     found = classes.join(roots.toDF("id", "root"), "id", "left").select(
         "cls", "chk", "many", F.coalesce("root", "id").alias("component_id")
     )
     found = settle(found, "class-components")
     release(classes)
     release(roots)
+    sweep(docs.sparkSession)
     # Classes of many rows are few and broadcast; the rows of others are shuffled to meet theirs.
     n_rows = found.agg(F.sum("many")).first()[0] or 0
     is_hot = F.col("many") > max(2, n_rows // HOT_CLASSES)
