@@ -15,7 +15,7 @@ from waypost.llm.exact_dedup import drop_copies
 from waypost.llm.jaccard import drop_near_copies
 from waypost.llm.packing import pack_documents
 from waypost.llm.quality import fit, keep_good
-from waypost.workspace import settle
+from waypost.workspace import release, settle, sweep
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +56,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    What a stage has read, and the shuffle files of its steps, go once it is written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            release(before)
+        sweep(spark)
+        before = docs
     return docs

@@ -1,10 +1,14 @@
 """The product in rounds, and rows that go without a shuffle of those that stay."""
 
+import os
+
+import corpus_pipeline
 import numpy as np
+import pytest
 from test_jaccard import SCHEMA, brute, corpus
 
 from waypost.llm import jaccard
-from waypost.llm.jaccard import jaccard_components
+from waypost.llm.jaccard import drop_near_copies, jaccard_components
 
 
 def frame(spark, rows):
@@ -46,3 +50,33 @@ def test_an_owner_counts_once_for_a_key_however_often_it_is_sent():
     key, low, a, b, n = jaccard._stars(keys, owners)
     assert key.tolist() == [5, 7, 9] and low.tolist() == [1, 2, 1]
     assert (a.tolist(), b.tolist(), n.tolist()) == ([2], [1], [1])
+
+
+@pytest.mark.parametrize("words", [1, 1 << 12])
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch, words):
+    """Nearly all of them; a bitmap of one word leaves it to the join."""
+    monkeypatch.setattr(jaccard, "FILTER_WORDS", words)
+    rows = corpus(6) + [(None, "no id"), (None, None), (7_000_000_000, "one alone"), (7_000_000_000, "one alone")]
+    docs = frame(spark, rows)
+    root = {d: c for d, _, c in brute([r for r in rows if r[0] is not None], 5, 80, 100)}
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (tuple(r)[:2] for r in kept.collect()))) == sorted(str(r) for r in rows if r[0] is None or root[r[0]] == r[0])
+    joined = sum(line.count("SortMergeJoin LeftAnti") for line in kept._jdf.queryExecution().executedPlan().toString().split("\n"))
+    assert joined == 0 or "_go" in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_pipeline_keeps_no_table_of_an_earlier_stage(spark, monkeypatch):
+    written = []
+
+    def seen(df, name):
+        out = settle(df, name)
+        written.append((name, out.inputFiles()[0].removeprefix("file:").rpartition("/")[0]))
+        return out
+
+    settle = corpus_pipeline.settle
+    monkeypatch.setattr(corpus_pipeline, "settle", seen)
+    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert [name for name, _ in written] == [name for name, _ in corpus_pipeline.STAGES]
+    assert [os.path.exists(at) for _, at in written] == [False] * (len(written) - 1) + [True]
+    assert packed.count() > 0

@@ -12,6 +12,8 @@ all pairs are X times its transpose. Sizes keep that product small:
   than one, so a row that shares fewer keys than that with all others together is similar
   to none and leaves: documents that merely share a passage go here. Rows that share keys
   are linked into families, by one link to the smallest row of each key, never all pairs.
+  A row leaves out its links to the rows that most others link to, as long as what is left
+  out is too little for a similar row: passages that very many share join no families.
 * Product. Within a family the product is accumulated row by row over the live columns,
   and pairs below the bound of their sizes are discarded. A large family is cut into
   tiles and each pair of tiles is a task of bounded size. Of the links a task finds it
@@ -33,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waypost.llm.batches import in_slices
@@ -52,8 +54,9 @@ TILE_GRAMS = 500_000
 ROUND_SHARE = 1 / 40
 ROUND_GRAMS = 10_000_000
 
-#: Bytes of a key's print that are sent.
+#: Bytes of a key's print that are sent; most rows of a flush that are sent with a key, which is a node itself beyond.
 KEY_BYTES = 6
+KEY_ROWS = 64
 
 #: Words of 64 bits in a bitmap of ids that is broadcast.
 FILTER_WORDS = 1 << 18
@@ -175,7 +178,12 @@ def _stars(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 _SENT = "block int, kind int, a binary, b binary, c binary, d binary, e binary"
-_KEYS, _DOCS, _LINKS = 0, 1, 2
+_KEYS, _DOCS, _LINKS, _COMMON = 0, 1, 2, 3
+
+
+def _key_links(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Links of owners to their keys as nodes."""
+    return _counted_pairs(owners, _codes(mix(keys).view(np.int64)), np.ones(len(keys), np.int64))
 
 
 def _sending(n: int, share: tuple[int, int], n_blocks: int):
@@ -190,15 +198,23 @@ def _sending(n: int, share: tuple[int, int], n_blocks: int):
         out = [(any_block, _DOCS, *(c.tobytes() for c in columns))]
         if keys:
             owner = np.repeat(_codes(np.array(owners, np.int64)), [len(k) for k in keys])
-            key, low, a, b, n = _stars(np.concatenate(keys), owner)
-            if len(a):
+            key = np.concatenate(keys) & ~np.uint64((1 << (64 - 8 * KEY_BYTES)) - 1)
+            order = np.lexsort((owner, key))
+            key, owner = key[order], owner[order]
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            many = np.diff(np.append(first, len(key)))
+            common = np.repeat(many > KEY_ROWS, many)
+            if common.any():
+                a, b, n = _key_links(key[common], owner[common])
                 out.append((any_block, _LINKS, a.tobytes(), b.tobytes(), n.tobytes(), None, None))
-            block = ((key >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)  # keys are sorted
-            edges = np.searchsorted(block, np.arange(n_blocks + 1, dtype=np.uint64))
-            for k in range(n_blocks):
-                s, e = edges[k], edges[k + 1]
-                if s < e:
-                    out.append((k, _KEYS, _packed(key[s:e]), low[s:e].tobytes(), None, None, None))
+            for kind, held, its in ((_COMMON, key[first[many > KEY_ROWS]], None), (_KEYS, key[~common], owner[~common])):
+                block = ((held >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)  # keys are sorted
+                edges = np.searchsorted(block, np.arange(n_blocks + 1, dtype=np.uint64))
+                for k in range(n_blocks):
+                    s, e = edges[k], edges[k + 1]
+                    if s < e:
+                        sent = None if its is None else its[s:e].tobytes()
+                        out.append((k, kind, _packed(held[s:e]), sent, None, None, None))
         return rows(out)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,10 +259,13 @@ def _meet(sent: pa.Table) -> pa.Table:
 
     ids, sizes, prints, checks, shared = (joined(_DOCS, c, np.int64) for c in "abcde")
     a, b, n = (joined(_LINKS, c, t) for c, t in (("a", np.int32), ("b", np.int32), ("c", np.int64)))
-    packed = held(_KEYS, "a")
-    if packed:
-        _, _, *more = _stars(np.concatenate([_unpacked(x) for x in packed]), joined(_KEYS, "b", np.int32))
-        a, b, n = _counted_pairs(*(np.concatenate(x) for x in zip((a, b, n), more)))
+    keys, common = (
+        np.concatenate([np.empty(0, np.uint64), *map(_unpacked, held(kind, "a"))]) for kind in (_KEYS, _COMMON)
+    )
+    owners = joined(_KEYS, "b", np.int32)
+    is_common = np.isin(keys, common)
+    met = _stars(keys[~is_common], owners[~is_common])[2:], _key_links(keys[is_common], owners[is_common])
+    a, b, n = _counted_pairs(*(np.concatenate(x) for x in zip((a, b, n), *met)))
     none, no_code = pa.nulls(len(a), pa.int64()), pa.nulls(len(ids), pa.int32())
     columns = [
         pa.chunked_array([pa.array(ids), none]),
@@ -358,6 +377,39 @@ def _likely(rows: DataFrame, members: DataFrame) -> DataFrame:
     return held.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
 
 
+def _without(docs: DataFrame, id_col: str, judged: DataFrame) -> DataFrame:
+    """``docs`` without those that are ``gone`` in ``judged`` (id, gone), which has every id that is not null.
+
+    Two bitmaps are broadcast, of ids that go and of ids that stay; only rows that may be
+    either are shuffled.
+    """
+    bits = {c: F.bit_or(F.when(F.col("gone") == flag, F.col("_bit")).otherwise(0)) for c, flag in (("_go", True), ("_stay", False))}
+    words = _slotted(judged, "id").groupBy("_word").agg(*[x.alias(c) for c, x in bits.items()])
+    marked = _slotted(docs, id_col).join(F.broadcast(settle(words, "judged-bits")), "_word", "left")
+    may = {c: F.coalesce(F.col(c).bitwiseAND(F.col("_bit")) != 0, F.lit(False)) for c in bits}
+    nameless = F.col(id_col).isNull()
+    sure = marked.where(nameless | ~may["_go"]).select(*docs.columns)
+    open_ = marked.where(~nameless & may["_go"] & may["_stay"]).select(*docs.columns)
+    gone = judged.where("gone").select(F.col("id").alias("_gone_id"))
+    return sure.union(open_.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti"))
+
+
+def _telling(links: DataFrame, enough: DataFrame) -> DataFrame:
+    """Links (code, pivot) of the rows that have enough, such that similar rows still have a pivot in common.
+
+    Similar rows share ``need`` keys, so each may leave out pivots that stand for fewer
+    together, if all rows leave out the same ones first: those with most links. A row's
+    own keys count as many, so it stays a pivot for itself.
+    """
+    near = links.join(enough, "code")
+    many = near.groupBy("pivot").agg(F.count(F.lit(1)).alias("many"))
+    own = enough.join(many, F.col("code") == F.col("pivot")).select("code", "pivot", F.lit(1 << 40).alias("keys"), "need", "many")
+    all_ = near.join(many, "pivot").select("code", "pivot", "keys", "need", "many").union(own)
+    order = Window.partitionBy("code").orderBy(F.desc("many"), "pivot").rowsBetween(Window.unboundedPreceding, 0)
+    told = all_.withColumn("keys", F.sum("keys").over(order)).filter("keys >= need")
+    return told.select(F.col("code").cast("long").alias("u"), F.col("pivot").cast("long").alias("v"))
+
+
 def _products(source: DataFrame, members: DataFrame, n: int, share: tuple[int, int], round_grams: int) -> list[DataFrame]:
     """Tables of links between members that are similar, a forest for each task of the product.
 
@@ -448,26 +500,23 @@ def jaccard_components(
     )
     # No less than the keys a class shares: those of its links, to it and from it.
     both = links.select("code", "keys").union(links.select("pivot", "keys"))
-    enough = (
-        both.groupBy("code").agg(F.sum("keys").alias("keys")).join(classes, "code").filter("keys >= shared").select("code").distinct()
-    )
+    need = classes.groupBy("code").agg(F.min("shared").alias("need"))
+    enough = both.groupBy("code").agg(F.sum("keys").alias("keys")).join(need, "code").filter("keys >= need").select("code", "need")
     enough = settle(enough, "classes-with-keys")
-    # A link counts if its class stays, or is where such a class' link leads to.
-    near = links.join(enough, "code", "left_semi")
-    through = near.select(F.col("pivot").alias("code")).union(enough).distinct()
-    kept = links.join(through, "code", "left_semi").select(F.col("code").cast("long"), F.col("pivot").cast("long"))
-    families = settle(components(kept).select(F.col("node").cast("int"), F.col("root").cast("int")), "families")
+    near = settle(_telling(links, enough), "near-links")
     release(links)
+    families = settle(components(near).select(F.col("node").cast("int"), F.col("root")), "families")
+    release(near)
 
     # Different sets with one code are a family too.
     shared = classes.groupBy("code").count().filter("count > 1").select("code")
-    family = families.toDF("code", "family").union(
-        shared.join(families.select(F.col("node").alias("code")), "code", "left_anti").select("code", F.col("code").alias("family"))
-    )
-    stay = enough.union(shared).distinct()
-    members = settle(classes.join(family, "code").join(stay, "code", "left_semi").withColumn("family", F.col("family").cast("long")), "family-members")
-    release(families)
-    release(enough)
+    stay = enough.select("code").union(shared).distinct()
+    placed = classes.join(stay, "code").join(families.toDF("code", "family"), "code", "left")
+    placed = settle(placed.withColumn("family", F.coalesce("family", F.col("code").cast("long"))), "placed")
+    several = placed.groupBy("family").count().filter("count > 1").select("family")
+    members = settle(placed.join(several, "family", "left_semi"), "family-members")
+    for table in (families, enough, placed):
+        release(table)
     sweep(docs.sparkSession)
     links = _products(source, members, n, share, max(ROUND_GRAMS, int(n_bytes * ROUND_SHARE)))
     roots = settle(components(reduce(DataFrame.union, links)), "roots")
@@ -511,6 +560,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows with a null id stay.
     """
-    found = jaccard_components(docs, id_col, text_col, **options)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    found = jaccard_components(docs, id_col, text_col, **options).filter(F.col(id_col).isNotNull())
+    # Of rows that share an id all have its component.
+    judged = found.select(F.col(id_col).alias("id"), (F.col(id_col) != F.col("component_id")).alias("gone")).distinct()
+    judged = settle(judged, "judged")
+    sweep(docs.sparkSession)
+    return _without(docs, id_col, judged)
