@@ -63,3 +63,21 @@ def test_a_pass_over_bronze_reads_three_columns_and_combines_first(spark, tmp_pa
 def test_narrow_rows_are_shuffled_and_no_bitmaps(spark):
     plan = P.observation_partials(bronze(spark, *FIRST))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange")
+
+
+def test_landed_text_and_quarantine_are_compressed_and_landed_files_go(spark, tmp_path, monkeypatch):
+    from waypost.catalog import streams
+
+    landed = []
+    start = streams.start_bronze
+
+    def seen(source, paths, **options):
+        landed.extend(p for p in tmp_path.glob("landing-*/*") if p.name.startswith("part-"))
+        return start(source, paths, **options)
+
+    monkeypatch.setattr(streams, "start_bronze", seen)
+    monkeypatch.setattr(streams, "fresh_path", lambda _, name: str(tmp_path / f"{name}-1"))
+    paths = streams._ingest(spark, "/root/testdata/sf0.001", True, 2, 1)
+    rejected = [p for p in tmp_path.glob("ingest-1/quarantine/*/*") if p.name.startswith("part-")]
+    assert landed and {p.suffix for p in landed + rejected} == {".lz4"}
+    assert spark.read.json(paths.quarantine).count() > 0 and not (tmp_path / "landing-1").exists()

@@ -11,7 +11,7 @@ from waypost.catalog.registry import query
 from waypost.catalog.relational import _KEEP, session_sql, silver_sql
 from waypost.plans.flights import SESSION_COLUMNS
 from waypost.plans.partials import headline, read_partials
-from waypost.sinks.tables import write_bronze_table
+from waypost.sinks.tables import TEXT_CODEC, write_bronze_table
 from waypost.sources.records import stream_ndjson
 from waypost.sources.tables import read_bronze
 from waypost.streaming.ingest import IngestPaths, start_bronze
@@ -19,13 +19,13 @@ from waypost.streaming.live import read_live, start_live
 from waypost.streaming.marts import read_flights, read_traffic, start_marts
 from waypost.streaming.sessions import read_sessions, start_sessions
 from waypost.streaming.silver import read_latest, start_silver, stream_bronze
-from waypost.workspace import fresh_path, settle
+from waypost.workspace import delete, fresh_path, settle, sweep
 
 VEC, REC, SILVER = S.VEC_SQL, S.REC_SQL, S.SILVER_SQL
 
 
-#: Most events whose messages are landed in one file.
-FILE_EVENTS = 100_000
+#: Most events whose messages are landed in one file; a compressed file is read by one task.
+FILE_EVENTS = 25_000
 
 
 def _ingest(spark, sf, corrupt: bool, files: int, per_trigger: int | None) -> IngestPaths:
@@ -37,7 +37,9 @@ def _ingest(spark, sf, corrupt: bool, files: int, per_trigger: int | None) -> In
     landing, root = fresh_path(spark, "landing"), fresh_path(spark, "ingest")
     times = -(-S.table(spark, sf, "events").count() // (files * FILE_EVENTS)) or 1
     files, per_trigger = files * times, per_trigger and per_trigger * times
-    S.messages(spark, sf, corrupt).select("value").repartition(files).write.text(landing)
+    messages = S.messages(spark, sf, corrupt).select("value").repartition(files)
+    messages.write.option("compression", TEXT_CODEC).text(landing)
+    sweep(spark)
     paths = IngestPaths(
         bronze=f"{root}/bronze", quarantine=f"{root}/quarantine", metrics=f"{root}/metrics",
         checkpoint=f"{root}/checkpoint", partials=f"{root}/partials",
@@ -46,6 +48,7 @@ def _ingest(spark, sf, corrupt: bool, files: int, per_trigger: int | None) -> In
     # The stand-in breaks most messages on purpose.
     job = start_bronze(source, paths, bounded=True, max_invalid_ratio=1.0)
     job.awaitTermination()
+    delete(spark, landing)
     return paths
 
 

@@ -16,6 +16,9 @@ from waypost.params import BRONZE_RETENTION_DAYS, METRICS_RETENTION_DAYS
 from waypost.sources.tables import utc
 from waypost.workspace import children, claim, delete, release, settle, shared_root
 
+#: Of files of text and JSON, which take several times the space of the tables made from them.
+TEXT_CODEC = "lz4"
+
 
 def _bronze_layout(df: DataFrame) -> DataFrame:
     return df.select(*schemas.BRONZE_COLUMNS).withColumns(
@@ -146,8 +149,8 @@ def write_kafka(df: DataFrame, brokers: str, topic: str, key: str = "icao24") ->
 
 
 def write_quarantine(quarantine: DataFrame, path: str, mode: str = "append") -> None:
-    """Rejected payloads as they came, with the reason."""
-    quarantine.write.mode(mode).json(path)
+    """Rejected payloads as they came, with the reason; files are compressed."""
+    quarantine.write.mode(mode).option("compression", TEXT_CODEC).json(path)
 
 
 def materialize(
